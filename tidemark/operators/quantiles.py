@@ -34,8 +34,10 @@ def _located(histogram: DataFrame, probs: Sequence[float]) -> DataFrame:
             F.sum("n").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("before"),
         F.sum("n").over(Window.partitionBy("column")).alias("total"),
-        F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"),
     )
+    # a projection of its own: rows are multiplied after the windows, not before
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
+    ranked = ranked.select("*", wanted)
     exact = (F.col("total") - 1) * F.col("prob")
     low, high = F.floor(exact), F.ceil(exact)
     inside = [

@@ -81,7 +81,10 @@ def bucketed(df: DataFrame, columns: dict[str, tuple[str, Sequence[float]]]) ->
 def sliced_by_value(
     df: DataFrame, key: Column, tie: str, slices: int | None = None
 ) -> DataFrame:
-    """Add slice columns for the order (key ascending, NULL last; tie ascending)."""
+    """Add slice columns for the order (key ascending, NULL last; tie ascending).
+
+    ``tie`` is numeric; it divides the rows of a frequent key value.
+    """
     slices = slices or slice_count(df)
     df = df.withColumns({_KEY: key.cast("double"), _TIE: F.col(tie).cast("double")})
     key_quantiles, tie_quantiles = quantile_grid(df, [_KEY, _TIE], slices)
@@ -171,18 +174,19 @@ def positions(
 def rank_rows(
     df: DataFrame,
     key: str,
-    tie: str,
+    tie: str | Sequence[str],
     group: Sequence[str] = (),
     descending: bool = False,
     row: str = "rank",
     running: dict[str, str] | None = None,
     slices: int | None = None,
 ) -> DataFrame:
-    """Rank 1..n by ``key`` (ties by ``tie``), over all rows or within groups."""
+    """Rank 1..n by ``key`` (ties by the ``tie`` columns), over all rows or within groups."""
+    ties = [tie] if isinstance(tie, str) else list(tie)
     value = F.col(key).cast("double")
     value = -value if descending else value
-    sliced = sliced_by_value(df, value, tie, slices)
-    order = [F.col(_KEY).asc_nulls_last(), F.col(tie).asc()]
+    sliced = sliced_by_value(df, value, ties[0], slices)
+    order = [F.col(_KEY).asc_nulls_last(), *[F.col(t).asc() for t in ties]]
     return positions(sliced, order, group, row, running)
 
 

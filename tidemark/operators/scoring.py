@@ -55,8 +55,8 @@ def predict(
 
 
 def rank_scores(scores: DataFrame, spec: PanelSpec, rank: str = "rank_desc") -> DataFrame:
-    """Rank 1..n by score descending, ties by id."""
-    return rank_rows(scores, SCORE, spec.id, descending=True, row=rank)
+    """Rank 1..n by score descending, ties by id and period."""
+    return rank_rows(scores, SCORE, spec.key, descending=True, row=rank)
 
 
 def scored_table(
@@ -87,7 +87,7 @@ def score_period(
 
 def sort_scores(scores: DataFrame, spec: PanelSpec) -> DataFrame:
     """Global order by score (range-partitioned sort)."""
-    return scores.orderBy(F.col(SCORE).desc(), F.col(spec.id))
+    return scores.orderBy(F.col(SCORE).desc(), *spec.key)
 
 
 def head_report(scores: DataFrame, spec: PanelSpec, rows: int = 10) -> DataFrame:
@@ -108,7 +108,7 @@ def top_n_flag(
     if n > TOP_K_ROWS:
         ranked = rank_scores(scores, spec, "_rank")
         return ranked.select(*scores.columns, (F.col("_rank") <= n).cast("int").alias(name))
-    place = F.struct((-F.col(SCORE)).alias("s"), F.col(spec.id).alias("i"))
+    place = F.struct((-F.col(SCORE)).alias("s"), *spec.key)
     last = (
         scores.select(place.alias("p")).orderBy("p").limit(n).agg(F.max("p").alias("p"))
     )

@@ -4,7 +4,7 @@ SELECT
   lag({activity}, 1) OVER hist AS activity_lag1,
   lag({activity}, 2) OVER hist AS activity_lag2,
   lag({activity}, 3) OVER hist AS activity_lag3,
-  avg({activity}) OVER (hist ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS activity_avg4,
+  avg({activity}) OVER last4 AS activity_avg4,
   {activity} - lag({activity}, 1) OVER hist AS activity_delta1,
   {activity} - lag({activity}, 2) OVER hist AS activity_delta2,
   row_number() OVER (PARTITION BY {period_col} ORDER BY {tenure} NULLS LAST, {id_col}) AS tenure_row,
@@ -15,4 +15,5 @@ SELECT
 FROM step1_cards
 WINDOW
   hist AS (PARTITION BY {id_col} ORDER BY {period_col}),
+  last4 AS (PARTITION BY {id_col} ORDER BY {period_col} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW),
   seniority AS (PARTITION BY {period_col} ORDER BY {tenure} NULLS LAST)

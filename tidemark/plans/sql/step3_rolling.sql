@@ -1,4 +1,6 @@
-WITH stats AS (
+SELECT f.*, s.activity_mean4, s.activity_max4, s.activity_min4, s.activity_slope4
+FROM step2_activity f
+LEFT JOIN (
   SELECT
     {id_col},
     CAST({period_col} AS INT) AS {period_col},
@@ -9,7 +11,4 @@ WITH stats AS (
   FROM step2_activity
   WINDOW four AS (
     PARTITION BY {id_col} ORDER BY {period_col} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)
-)
-SELECT f.*, s.activity_mean4, s.activity_max4, s.activity_min4, s.activity_slope4
-FROM step2_activity f
-LEFT JOIN stats s ON f.{id_col} = s.{id_col} AND f.{period_col} = s.{period_col}
+) s ON f.{id_col} = s.{id_col} AND f.{period_col} = s.{period_col}

@@ -1,4 +1,11 @@
-WITH risk AS (
+SELECT
+  f.*,
+  r.activity_drop_share, r.flag_activity_drop, r.flag_two_periods_down, r.flag_near_inactive,
+  r.flag_high_utilisation, r.flag_small_ticket_often, r.tx_amount_range3,
+  r.tx_amount_relative_range3, r.received_delta1, r.flag_income_drop, r.activity_per_tenure,
+  r.flag_old_low_use, r.flag_spend_falling
+FROM step3_rolling f
+LEFT JOIN (
   SELECT
     {id_col},
     {period_col},
@@ -23,12 +30,4 @@ WITH risk AS (
     CASE WHEN spend_slope < 0 THEN 1 ELSE 0 END AS flag_spend_falling
   FROM step3_rolling
   WINDOW hist AS (PARTITION BY {id_col} ORDER BY {period_col})
-)
-SELECT
-  f.*,
-  r.activity_drop_share, r.flag_activity_drop, r.flag_two_periods_down, r.flag_near_inactive,
-  r.flag_high_utilisation, r.flag_small_ticket_often, r.tx_amount_range3,
-  r.tx_amount_relative_range3, r.received_delta1, r.flag_income_drop, r.activity_per_tenure,
-  r.flag_old_low_use, r.flag_spend_falling
-FROM step3_rolling f
-LEFT JOIN risk r ON f.{id_col} = r.{id_col} AND f.{period_col} = r.{period_col}
+) r ON f.{id_col} = r.{id_col} AND f.{period_col} = r.{period_col}
