@@ -10,7 +10,12 @@ from ..spec import PanelSpec
 
 MEASURES = [
     "spend_f", "spend_o", "count_f", "count_o", "limit_f", "limit_o", "balance_f", "balance_o",
-    "sent_amount", "received_amount", "sent_count", "part_count", "activity", "tenure",
+    "sent_amount", "received_amount", "sent_count", "bulk_count", "activity", "tenure",
+]
+
+MONEY = [
+    "spend_f", "spend_o", "limit_f", "limit_o", "balance_f", "balance_o", "sent_amount",
+    "received_amount",
 ]
 
 _ROLES = {
@@ -18,7 +23,7 @@ _ROLES = {
     "limit_a": "limit_f", "limit_b": "limit_o", "balance_a": "balance_f",
     "balance_b": "balance_o", "sent_amount": "sent_amount",
     "received_amount": "received_amount", "sent_count": "sent_count",
-    "cash_count": "part_count", "activity": "activity", "tenure": "tenure",
+    "cash_count": "bulk_count", "activity": "activity", "tenure": "tenure",
 }
 CUSTOMER_MONTH = PanelSpec("customer_id", "period", "target", roles=_ROLES)
 SUPPLIER_MONTH = PanelSpec("supplier_id", "period", "target", roles=_ROLES)
@@ -52,53 +57,54 @@ def _month(ts: str) -> Column:
     return (F.year(ts) * 100 + F.month(ts)).cast("int")
 
 
-def _line_measures() -> list[Column]:
+def _line_amounts() -> dict[str, Column]:
+    """What one line item adds to each measure, money in whole cents."""
     price, status = F.col("l_extendedprice"), F.col("l_linestatus")
+    amounts: dict[str, Column] = {}
+    for brand in ("F", "O"):
+        of_brand, name = status == brand, brand.lower()
+        amounts[f"spend_{name}"] = F.when(of_brand, _cents(price))
+        amounts[f"count_{name}"] = F.when(of_brand, F.lit(1))
+        amounts[f"limit_{name}"] = F.when(of_brand, _cents(price * (1 + F.col("l_tax"))))
+        amounts[f"balance_{name}"] = F.when(of_brand, _cents(price * F.col("l_tax")))
+    amounts["sent_amount"] = _cents(price * F.col("l_discount"))
+    amounts["received_amount"] = F.when(F.col("l_returnflag") == "A", _cents(price))
+    amounts["sent_count"] = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+    amounts["bulk_count"] = F.when(F.col("l_quantity") > 25, 1).otherwise(0)
+    amounts["activity"] = F.lit(1)
+    return amounts
 
-    def money(amount: Column, condition: Column | None = None) -> Column:
-        cents = _cents(amount)
-        return F.sum(cents if condition is None else F.when(condition, cents)) / 100.0
 
-    measures = []
-    for brand in ("F", "O"):
-        of_brand = status == brand
-        name = brand.lower()
-        measures += [
-            money(price, of_brand).alias(f"spend_{name}"),
-            F.sum(F.when(of_brand, 1)).alias(f"count_{name}"),
-            money(price * (1 + F.col("l_tax")), of_brand).alias(f"limit_{name}"),
-            money(price * F.col("l_tax"), of_brand).alias(f"balance_{name}"),
-        ]
-    return measures + [
-        money(price * F.col("l_discount")).alias("sent_amount"),
-        money(price, F.col("l_returnflag") == "A").alias("received_amount"),
-        F.count_if(F.col("l_returnflag") == "R").alias("sent_count"),
-        F.count_distinct("l_partkey").alias("part_count"),
-        F.count(F.lit(1)).alias("activity"),
-    ]
-
-
-def _with_tenure(panel: DataFrame, spec: PanelSpec) -> DataFrame:
+def _summed(df: DataFrame, keys: list[str], amounts: dict[str, Column]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in amounts.items()])
+
+
+def _finished(summed: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Cents to money, and the tenure: months since the entity's first month, plus 1."""
     first = F.first(spec.period).over(spec.history.so_far)
-    months = month_number(spec.period) - month_number(first) + 1
-    return panel.select(*spec.key, *MEASURES[:-1], months.cast("int").alias("tenure"))
+    tenure = month_number(spec.period) - month_number(first) + 1
+    values = {m: F.col(m) / 100.0 if m in MONEY else F.col(m) for m in MEASURES[:-1]}
+    return summed.select(
+        *spec.key, *[v.alias(m) for m, v in values.items()], tenure.cast("int").alias("tenure")
+    )
 
 
 def customer_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer x order month.  A hot customer is combined map-side per month and part;
-    a hot order is split by the adaptive skew join."""
+    """Customer x order month.
+
+    Lines are summed per order first: a hot order is combined before the shuffle, and the
+    join reuses the partitioning of that sum.  The second sum combines a hot customer.
+    """
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("customer_id"),
         _month("o_orderdate").alias("period"),
     )
-    lines = table(spark, sf_dir, "lineitem")
-    panel = (
-        lines.join(orders, "l_orderkey")
-        .groupBy("customer_id", "period")
-        .agg(*_line_measures())
-    )
-    return _with_tenure(panel, CUSTOMER_MONTH)
+    amounts = _line_amounts()
+    per_order = _summed(table(spark, sf_dir, "lineitem"), ["l_orderkey"], amounts)
+    joined = per_order.join(orders, "l_orderkey")
+    summed = _summed(joined, CUSTOMER_MONTH.key, {n: F.col(n) for n in amounts})
+    return _finished(summed, CUSTOMER_MONTH)
 
 
 def supplier_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,8 +112,7 @@ def supplier_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "*", F.col("l_suppkey").alias("supplier_id"), _month("l_shipdate").alias("period")
     )
-    panel = lines.groupBy("supplier_id", "period").agg(*_line_measures())
-    return _with_tenure(panel, SUPPLIER_MONTH)
+    return _finished(_summed(lines, SUPPLIER_MONTH.key, _line_amounts()), SUPPLIER_MONTH)
 
 
 def user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
