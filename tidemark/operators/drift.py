@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
@@ -31,13 +31,18 @@ def psi_cuts(
     return {c: sorted(set(q)) if q else [] for c, q in quantiles.items()}
 
 
-def _bin_number(c: str, cuts: Sequence[float]) -> Column:
-    """1-based bin: half-open, the last one closed; NULL outside the cuts, for NULL and NaN."""
-    x = F.col(c).cast("double")
-    number = F.when((x < cuts[0]) | (x > cuts[-1]) | F.isnan(x), None)
-    for i in range(1, len(cuts) - 1):
-        number = number.when(x < cuts[i], i)
-    return number.when(x <= cuts[-1], len(cuts) - 1)
+def _bin_number(column: str, cuts: Sequence[float]) -> str:
+    """SQL text of the bin of a value.
+
+    1, 2, … are half-open bins between the cuts, the last one closed; 0 is a value outside
+    the cuts (or any value, when there are fewer than two cuts), -1 is NULL or NaN.
+    """
+    x = f"CAST(`{column}` AS DOUBLE)"
+    missing = f"CASE WHEN `{column}` IS NULL OR isnan({x}) THEN -1"
+    if len(cuts) < 2:
+        return f"{missing} ELSE 0 END"
+    bins = " ".join(f"WHEN {x} < {c!r}D THEN {i}" for i, c in enumerate(cuts[:-1]))
+    return f"{missing} {bins} WHEN {x} <= {cuts[-1]!r}D THEN {len(cuts) - 1} ELSE 0 END"
 
 
 def psi_by_column_period(
@@ -60,63 +65,51 @@ def psi_by_column_period(
     baseline = baseline_periods(df, period) if baseline is None else list(baseline)
     in_baseline = F.col(period).isin(baseline)
     cuts = psi_cuts(df.filter(in_baseline), columns, buckets, slices)
-    empty = [c for c in columns if not cuts[c]]
-    constant = [c for c in columns if len(cuts[c]) == 1]
-    binned = [c for c in columns if len(cuts[c]) > 1]
-
-    # bin 0 collects valid values outside the cuts, bin -1 NULL and NaN
-    numbers = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        number = F.when(x.isNull() | F.isnan(x), -1)
-        if c in binned:
-            number = number.otherwise(F.coalesce(_bin_number(c, cuts[c]), F.lit(0)))
-        numbers.append(number.otherwise(0) if c not in binned else number)
+
+    numbers = ", ".join(_bin_number(c, cuts[c]) for c in columns)
     counts = (
-        df.select(period, F.posexplode(F.array(*numbers)).alias("_pos", "_bin"))
+        df.select(period, F.expr(f"posexplode(array({numbers})) AS (_pos, _bin)"))
         .groupBy(period, "_pos", "_bin")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     bins = range(1, buckets + 1)
+    in_bin = "sum(CASE WHEN _bin = {0} THEN _n ELSE 0 END) AS _a{0}"
     wide = counts.groupBy(period, "_pos").agg(
-        F.sum(F.when(F.col("_bin") >= 0, F.col("_n")).otherwise(0)).alias("_valid"),
-        *[F.sum(F.when(F.col("_bin") == b, F.col("_n")).otherwise(0)).alias(f"_a{b}") for b in bins],
+        F.expr("sum(CASE WHEN _bin >= 0 THEN _n ELSE 0 END) AS _valid"),
+        *[F.expr(in_bin.format(b)) for b in bins],
     )
-    of_column = Window.partitionBy("_pos")
-    wide = wide.select(
-        "*",
-        *[
-            F.sum(F.when(in_baseline, F.col(f"_a{b}")).otherwise(0)).over(of_column).alias(f"_e{b}")
-            for b in bins
-        ],
+    expected = "sum(CASE WHEN _base THEN _a{0} ELSE 0 END) OVER (PARTITION BY _pos) AS _e{0}"
+    per_column = ", ".join(f"'{c}'" for c in columns)
+    bins_of = ", ".join(str(len(cuts[c]) - 1) for c in columns)
+    wide = wide.select("*", in_baseline.alias("_base")).selectExpr(
+        f"`{period}`",
+        f"element_at(array({per_column}), _pos + 1) AS column",
+        f"element_at(array({bins_of}), _pos + 1) AS _bins",
+        "_valid",
+        *[f"_a{b}" for b in bins],
+        *[expected.format(b) for b in bins],
     )
-    actual_total = sum((F.col(f"_a{b}") for b in bins), F.lit(0))
-    expected_total = sum((F.col(f"_e{b}") for b in bins), F.lit(0))
-    bin_count = F.element_at(
-        F.array(*[F.lit(max(len(cuts[c]) - 1, 0)) for c in columns]), F.col("_pos") + 1
+    wide = wide.selectExpr(
+        "*",
+        " + ".join(f"_a{b}" for b in bins) + " AS _actual",
+        " + ".join(f"_e{b}" for b in bins) + " AS _expected",
     )
 
-    def share(n: Column, total: Column) -> Column:
-        return F.greatest(F.least(n / total, F.lit(1.0)), F.lit(epsilon))
-
-    value = F.lit(0.0)
-    for b in bins:
-        e, a = share(F.col(f"_e{b}"), expected_total), share(F.col(f"_a{b}"), actual_total)
-        value = value + F.when(bin_count >= b, (e - a) * F.ln(e / a)).otherwise(F.lit(0.0))
-    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_pos") + 1)
-    psi = (
-        F.when((F.col("_valid") == 0) | F.col("column").isin(empty or [""]), None)
-        .when(F.col("column").isin(constant or [""]), F.lit(0.0))
-        .when((F.col("_actual") > 0) & (F.col("_expected") > 0), F.col("_value"))
+    def share(n: str, total: str) -> str:
+        return f"greatest(least({n} / {total}, 1.0D), {epsilon!r}D)"
+
+    def term(b: int) -> str:
+        e, a = share(f"_e{b}", "_expected"), share(f"_a{b}", "_actual")
+        return f"CASE WHEN _bins >= {b} THEN ({e} - {a}) * ln({e} / {a}) ELSE 0.0D END"
+
+    value = " + ".join(term(b) for b in bins)
+    return wide.selectExpr(
+        f"`{period}`",
+        "column",
+        f"""CASE WHEN _valid = 0 OR _bins < 0 THEN NULL
+                 WHEN _bins = 0 THEN 0.0D
+                 WHEN _actual > 0 AND _expected > 0 THEN {value} END AS psi""",
     )
-    return wide.select(
-        period,
-        name.alias("column"),
-        "_valid",
-        actual_total.alias("_actual"),
-        expected_total.alias("_expected"),
-        F.when((actual_total > 0) & (expected_total > 0), value).alias("_value"),
-    ).select(period, "column", psi.alias("psi"))
 
 
 def _by_period(
@@ -167,16 +160,18 @@ def outlier_rate_by_column_period(
     columns = list(columns)
     bounds = iqr_bounds(df, columns, slices=slices)
 
-    def outside(c: str) -> Column:
+    def rate(c: str) -> str:
         if bounds[c] is None:
-            return F.lit(None).cast("double")
+            return f"CAST(NULL AS DOUBLE) AS `{c}`"
         low, high = bounds[c]
-        x = F.col(c).cast("double")
-        hit = ((x < low) | (x > high)) & ~F.isnan(x)
-        has_value = F.count(F.when(~F.isnan(x), x))
-        return F.when(has_value > 0, F.avg(F.when(hit, 1.0).otherwise(0.0)))
-
-    wide = df.groupBy(period).agg(*[outside(c).alias(c) for c in columns])
+        x = f"CAST(`{c}` AS DOUBLE)"
+        hit = f"({x} < {low!r}D OR {x} > {high!r}D) AND NOT isnan({x})"
+        return (
+            f"CASE WHEN count_if(NOT isnan({x}) AND `{c}` IS NOT NULL) > 0"
+            f" THEN avg(CASE WHEN {hit} THEN 1.0D ELSE 0.0D END) END AS `{c}`"
+        )
+
+    wide = df.groupBy(period).agg(*[F.expr(rate(c)) for c in columns])
     return wide.unpivot([period], columns, "column", "outlier_rate")
 
 

@@ -44,15 +44,17 @@ def lag_candidates(
 def lags_and_deltas(
     df: DataFrame, spec: PanelSpec, columns: Sequence[str] | None = None, steps: Sequence[int] = (1, 2)
 ) -> DataFrame:
-    """Add ``{c}_lag{k}`` and ``{c}_d{k}`` for every column, in one window projection."""
-    h = spec.history
+    """Add ``{c}_lag{k}`` and ``{c}_d{k}`` for every column, in one window projection.
+
+    Written as SQL text: hundreds of columns reach the driver's JVM in one call.
+    """
     columns = lag_candidates(df, spec) if columns is None else columns
-    lagged = df.select(
-        "*", *[h.lag(c, k).alias(f"{c}_lag{k}") for c in columns for k in steps]
+    history = f"OVER (PARTITION BY `{spec.id}` ORDER BY `{spec.period}`)"
+    lagged = df.selectExpr(
+        "*", *[f"lag(`{c}`, {k}) {history} AS `{c}_lag{k}`" for c in columns for k in steps]
     )
-    return lagged.select(
-        "*",
-        *[(F.col(c) - F.col(f"{c}_lag{k}")).alias(f"{c}_d{k}") for c in columns for k in steps],
+    return lagged.selectExpr(
+        "*", *[f"`{c}` - `{c}_lag{k}` AS `{c}_d{k}`" for c in columns for k in steps]
     )
 
 
@@ -78,14 +80,14 @@ def smoothing_and_extremes(
     windows: Sequence[int] = fixed.EXTREME_WINDOWS,
 ) -> DataFrame:
     """Add exponential averages and rolling maxima and minima of the columns present."""
-    h = spec.history
     columns = [c for c in columns if c in df.columns]
+    history = f"PARTITION BY `{spec.id}` ORDER BY `{spec.period}`"
     added: list[Column] = []
     for c in columns:
         added += [ema(c, a, spec).alias(f"{c}_ema_alpha{alpha_name(a)}") for a in alphas]
         for n in windows:
-            added.append(F.max(c).over(h.last(n)).alias(f"{c}_max_win{n}"))
-            added.append(F.min(c).over(h.last(n)).alias(f"{c}_min_win{n}"))
+            frame = f"OVER ({history} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+            added += [F.expr(f"{f}(`{c}`) {frame} AS `{c}_{f}_win{n}`") for f in ("max", "min")]
     return df.select("*", *added)
 
 

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from .ranking import bucket_edges, bucketed, quantile_grid, slice_count
 
 
-def _valid(c: str) -> Column:
-    return F.col(c).isNotNull() & ~F.isnan(F.col(c))
+def _valid(c: str) -> str:
+    return f"`{c}` IS NOT NULL AND NOT isnan(`{c}`)"
 
 
 def _located(histogram: DataFrame, probs: Sequence[float]) -> DataFrame:
@@ -68,9 +68,11 @@ def exact_percentiles(
     names = [f"_bucket{i}" for i in range(len(columns))]
     cut = bucketed(df, {n: (c, e) for n, c, e in zip(names, columns, edges)})
 
-    numbers = F.array(*[F.when(_valid(c), F.col(n)).cast("int") for c, n in zip(columns, names)])
+    numbers = ", ".join(
+        f"CASE WHEN {_valid(c)} THEN CAST({n} AS INT) END" for c, n in zip(columns, names)
+    )
     histogram = (
-        cut.select(F.posexplode(numbers).alias("column", "bucket"))
+        cut.selectExpr(f"posexplode(array({numbers})) AS (column, bucket)")
         .filter(F.col("bucket").isNotNull())
         .groupBy("column", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -82,24 +84,14 @@ def exact_percentiles(
         wanted.setdefault(row["column"], set()).add(row["bucket"])
     if not wanted:
         return {c: None for c in columns}
-    picked = F.array(
-        *[
-            F.when(
-                _valid(columns[i]) & F.col(names[i]).isin([float(b) for b in sorted(buckets)]),
-                F.struct(
-                    F.lit(i).alias("column"),
-                    F.col(names[i]).cast("int").alias("bucket"),
-                    F.col(columns[i]).alias("value"),
-                ),
-            )
-            for i, buckets in sorted(wanted.items())
-        ]
+    picked = ", ".join(
+        f"CASE WHEN {_valid(columns[i])} AND {names[i]} IN ({', '.join(map(str, sorted(buckets)))})"
+        f" THEN struct({i} AS column, CAST({names[i]} AS INT) AS bucket, `{columns[i]}` AS value) END"
+        for i, buckets in sorted(wanted.items())
     )
-    kept = F.filter(picked, lambda x: x.isNotNull())
     by_value = Window.partitionBy("column", "bucket").orderBy("value")
     counted = (
-        cut.select(F.explode(kept).alias("x"))
-        .select("x.*")
+        cut.selectExpr(f"inline(array_compact(array({picked})))")
         .groupBy("column", "bucket", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("last", F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.periods import INDEX, month_number
@@ -48,44 +48,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _cents(amount: Column) -> Column:
+def _cents(amount: str) -> str:
     # whole cents add up to the same total in any order
-    return F.floor(amount * 100 + 0.5)
+    return f"floor(({amount}) * 100 + 0.5D)"
 
 
-def _month(ts: str) -> Column:
-    return (F.year(ts) * 100 + F.month(ts)).cast("int")
+def _month(ts: str) -> str:
+    return f"CAST(year({ts}) * 100 + month({ts}) AS INT)"
 
 
-def _line_amounts() -> dict[str, Column]:
+def _line_amounts() -> dict[str, str]:
     """What one line item adds to each measure, money in whole cents."""
-    price, status = F.col("l_extendedprice"), F.col("l_linestatus")
-    amounts: dict[str, Column] = {}
+    price = _cents("l_extendedprice")
+    limit = _cents("l_extendedprice * (1 + l_tax)")
+    balance = _cents("l_extendedprice * l_tax")
+    amounts: dict[str, str] = {}
     for brand in ("F", "O"):
-        of_brand, name = status == brand, brand.lower()
-        amounts[f"spend_{name}"] = F.when(of_brand, _cents(price))
-        amounts[f"count_{name}"] = F.when(of_brand, F.lit(1))
-        amounts[f"limit_{name}"] = F.when(of_brand, _cents(price * (1 + F.col("l_tax"))))
-        amounts[f"balance_{name}"] = F.when(of_brand, _cents(price * F.col("l_tax")))
-    amounts["sent_amount"] = _cents(price * F.col("l_discount"))
-    amounts["received_amount"] = F.when(F.col("l_returnflag") == "A", _cents(price))
-    amounts["sent_count"] = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
-    amounts["bulk_count"] = F.when(F.col("l_quantity") > 25, 1).otherwise(0)
-    amounts["activity"] = F.lit(1)
+        name = brand.lower()
+        for measure, value in (
+            ("spend", price), ("count", "1"), ("limit", limit), ("balance", balance)
+        ):
+            amounts[f"{measure}_{name}"] = f"CASE WHEN l_linestatus = '{brand}' THEN {value} END"
+    amounts["sent_amount"] = _cents("l_extendedprice * l_discount")
+    amounts["received_amount"] = f"CASE WHEN l_returnflag = 'A' THEN {price} END"
+    amounts["sent_count"] = "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END"
+    amounts["bulk_count"] = "CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END"
+    amounts["activity"] = "1"
     return amounts
 
 
-def _summed(df: DataFrame, keys: list[str], amounts: dict[str, Column]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in amounts.items()])
+def _summed(df: DataFrame, keys: list[str], amounts: dict[str, str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(f"sum({a}) AS {n}") for n, a in amounts.items()])
 
 
 def _finished(summed: DataFrame, spec: PanelSpec) -> DataFrame:
     """Cents to money, and the tenure: months since the entity's first month, plus 1."""
     first = F.first(spec.period).over(spec.history.so_far)
     tenure = month_number(spec.period) - month_number(first) + 1
-    values = {m: F.col(m) / 100.0 if m in MONEY else F.col(m) for m in MEASURES[:-1]}
     return summed.select(
-        *spec.key, *[v.alias(m) for m, v in values.items()], tenure.cast("int").alias("tenure")
+        *spec.key,
+        *[F.expr(f"{m} / 100.0D AS {m}") if m in MONEY else m for m in MEASURES[:-1]],
+        tenure.cast("int").alias("tenure"),
     )
 
 
@@ -98,19 +101,19 @@ def customer_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("customer_id"),
-        _month("o_orderdate").alias("period"),
+        F.expr(_month("o_orderdate")).alias("period"),
     )
     amounts = _line_amounts()
     per_order = _summed(table(spark, sf_dir, "lineitem"), ["l_orderkey"], amounts)
     joined = per_order.join(orders, "l_orderkey")
-    summed = _summed(joined, CUSTOMER_MONTH.key, {n: F.col(n) for n in amounts})
+    summed = _summed(joined, CUSTOMER_MONTH.key, {n: n for n in amounts})
     return _finished(summed, CUSTOMER_MONTH)
 
 
 def supplier_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier x ship month."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "*", F.col("l_suppkey").alias("supplier_id"), _month("l_shipdate").alias("period")
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "*", "l_suppkey AS supplier_id", f"{_month('l_shipdate')} AS period"
     )
     return _finished(_summed(lines, SUPPLIER_MONTH.key, _line_amounts()), SUPPLIER_MONTH)
 
@@ -122,7 +125,7 @@ def user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     panel = events.groupBy("user_id", "period").agg(
         F.count(F.lit(1)).alias("events"),
-        (F.sum(_cents(F.col("value"))) / 100.0).alias("value_sum"),
+        F.expr(f"sum({_cents('value')}) / 100.0D AS value_sum"),
         F.max("value").alias("value_max"),
         *[F.count_if(F.col("event_type") == t).alias(f"n_{t}") for t in EVENT_TYPES],
     )
