@@ -16,7 +16,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("staging")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
