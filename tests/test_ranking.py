@@ -63,8 +63,17 @@ def test_standing_equals_plain_windows(spark, slices):
 def test_no_slice_holds_a_hot_value(spark):
     df = skewed(spark, n=4000)
     sliced = ranking.sliced_by_value(df, F.col("x"), "id", slices=20)
-    largest = sliced.groupBy("_slice").count().agg(F.max("count")).first()[0]
-    assert largest <= 3 * 4000 / 20
+    sizes = sliced.groupBy("_slice").count().agg(F.max("count"), F.count("count")).first()
+    assert sizes[0] <= 3 * 4000 / 20
+    assert sizes[1] <= 4 * 20
+
+
+def test_sampled_cut_points_change_no_result(spark, monkeypatch):
+    df = skewed(spark)
+    expected = sorted(map(tuple, ranking.rank_rows(df, "x", "id", slices=8).collect()))
+    monkeypatch.setattr(ranking, "SAMPLE_PER_SLICE", 20)
+    got = sorted(map(tuple, ranking.rank_rows(df, "x", "id", slices=8).collect()))
+    assert got == expected
 
 
 def test_constant_and_empty_keys(spark):
@@ -77,10 +86,27 @@ def test_constant_and_empty_keys(spark):
     assert ranking.rank_rows(same.limit(0), "x", "id").count() == 0
 
 
+@pytest.mark.parametrize("slices", [2, 40])
+def test_zero_signs_and_nan(spark, slices):
+    values = [0.0, -0.0, float("nan"), None, 1.0, -1.0]
+    rows = [(i, values[(i * 7) % 6]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, x double").repartition(3).cache()
+    by_key = Window.partitionBy(F.lit(1)).orderBy(F.col("x").asc_nulls_last())
+    by_id = Window.partitionBy(F.lit(1)).orderBy(F.col("x").asc_nulls_last(), "id")
+    expected = df.select(
+        "id", F.row_number().over(by_id), F.rank().over(by_key), F.count(F.lit(1)).over(by_key)
+    )
+    one = df.withColumn("g", F.lit(1))
+    got = ranking.standing(one, "x", "id", ["g"], slices=slices).select(
+        "id", "row_in_group", "rank_in_group", "peers_end"
+    )
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
 def test_bucket_edges_isolate_frequent_values():
     splits, single = ranking.bucket_edges([1.0, 2.0, 2.0, 2.0, 5.0])
     assert splits == [-math.inf, 1.0, 2.0, math.nextafter(2.0, math.inf), 5.0, math.inf]
-    assert single == {2}
+    assert single == {2: 3}
 
 
 PROBS = [i * 0.1 for i in range(10)] + [1.0]

@@ -30,6 +30,9 @@ _SINGLE = "_single_value"
 _KEY = "_key"
 _TIE = "_tie"
 
+SAMPLE_PER_SLICE = 500
+SAMPLE_TASKS = 16
+
 
 def slice_count(df: DataFrame) -> int:
     """Four slices per shuffle partition, within [16, 4096]."""
@@ -38,27 +41,35 @@ def slice_count(df: DataFrame) -> int:
 
 
 def quantile_grid(df: DataFrame, columns: Sequence[str], slices: int) -> list[list[float]]:
-    """Approximate quantiles of several columns in one pass, sorted, duplicates kept."""
+    """Approximate quantiles of several columns in one pass, sorted, duplicates kept.
+
+    They serve as cut points, so a sample of ``SAMPLE_PER_SLICE * slices`` rows is enough, as
+    in Spark's own range partitioning.  It keeps the quantile sketches, which end up on the
+    driver, small however many files the table has.  Counting a Parquet table reads footers.
+    """
+    chosen = df.select(*columns)
+    rows, wanted = chosen.count(), SAMPLE_PER_SLICE * slices
+    if rows > wanted:
+        chosen = chosen.sample(wanted / rows, seed=17).repartition(SAMPLE_TASKS)
     grid = [i / slices for i in range(1, slices)]
-    return df.approxQuantile(list(columns), grid, 1.0 / (4 * slices))
+    return chosen.approxQuantile(list(columns), grid, 1.0 / (4 * slices))
 
 
-def bucket_edges(quantiles: Sequence[float]) -> tuple[list[float], set[int]]:
-    """Bucket edges, and the numbers of the buckets that hold exactly one value.
+def bucket_edges(quantiles: Sequence[float]) -> tuple[list[float], dict[int, int]]:
+    """Bucket edges, and the buckets of one single value with their number of grid positions.
 
     A value that fills more than one position of the grid is frequent; it gets the bucket
     [v, next double after v).
     """
-    edges: set[float] = set()
-    frequent: set[float] = set()
-    for before, q in zip([None, *quantiles], quantiles):
-        edges.add(q)
-        if q == before:
-            frequent.add(q)
-            edges.add(math.nextafter(q, math.inf))
-    finite = sorted(e for e in edges if math.isfinite(e))
-    splits = [-math.inf, *finite, math.inf]
-    return splits, {i + 1 for i, e in enumerate(finite) if e in frequent}
+    positions_of: dict[float, int] = {}
+    for q in quantiles:
+        if math.isfinite(q):
+            positions_of[q] = positions_of.get(q, 0) + 1
+    frequent = {v: n for v, n in positions_of.items() if n > 1}
+    finite = sorted({*positions_of, *(math.nextafter(v, math.inf) for v in frequent)})
+    finite = [e for e in finite if math.isfinite(e)]
+    singles = {i + 1: frequent[e] for i, e in enumerate(finite) if e in frequent}
+    return [-math.inf, *finite, math.inf], singles
 
 
 def bucketed(df: DataFrame, columns: dict[str, tuple[str, Sequence[float]]]) -> DataFrame:
@@ -86,22 +97,26 @@ def sliced_by_value(
     ``tie`` is numeric; it divides the rows of a frequent key value.
     """
     slices = slices or slice_count(df)
-    df = df.withColumns({_KEY: key.cast("double"), _TIE: F.col(tie).cast("double")})
+    key = key.cast("double")
+    key = F.when(key == 0, F.lit(0.0)).otherwise(key)  # one zero: -0.0 sorts like 0.0
+    df = df.withColumns({_KEY: key, _TIE: F.col(tie).cast("double")})
     key_quantiles, tie_quantiles = quantile_grid(df, [_KEY, _TIE], slices)
     key_splits, single = bucket_edges(key_quantiles)
     tie_splits, _ = bucket_edges(tie_quantiles)
     df = bucketed(df, {_RANGE: (_KEY, key_splits), "_part": (_TIE, tie_splits)})
 
-    null_range = len(key_splits)
-    is_single = F.col(_KEY).isNull() | F.col(_RANGE).isin(sorted(single) or [-1])
-    parts = len(tie_splits) + 1
-    part = F.when(is_single, F.coalesce("_part", F.lit(parts - 1))).otherwise(0)
-    number = F.coalesce(F.col(_RANGE), F.lit(null_range))
+    # A frequent value is divided in proportion to its share, NaN and NULL as if they were
+    # everything: the slices of all values together stay within five times ``slices``.
+    null_range, tie_parts = len(key_splits), len(tie_splits)
+    shares = [single.get(i, 0) for i in range(null_range - 1)] + [slices, slices]
+    number = F.coalesce(F.col(_RANGE), F.lit(null_range)).cast("int")
+    share = F.element_at(F.lit(shares), number + 1)
+    part = F.floor(F.coalesce("_part", F.lit(0)) * share / tie_parts)
     return df.withColumns(
         {
-            _SINGLE: is_single,
+            _SINGLE: share > 0,
             _RANGE: number.cast("bigint"),
-            _SLICE: (number * parts + part).cast("bigint"),
+            _SLICE: number.cast("bigint") * (slices + 1) + part,
         }
     ).drop("_part")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import fixed_values as fixed
 from . import sql_steps
-from .compare import comparable_sql
+from .compare import comparable_sql, rounded_sql
 from .panels import (
     CUSTOMER_MONTH, EVENT_TYPES, GROUPS, GROUPS_NOT_SMOOTHED, MEASURES, SUPPLIER_MONTH,
     USER_MEASURES,
@@ -469,6 +469,17 @@ def oracle_sql() -> dict[str, str]:
             f"{_MONEY_MEASURES} {_STEP3_DOUBLES}",
         ),
         "risk_features": _features(CM, "cm", CUSTOMER_MONTH, 4, _STEP4_LONGS, _STEP4_DOUBLES),
+        "risk_joined_back": _features(
+            CM, "cm", CUSTOMER_MONTH, 4, _STEP4_LONGS,
+            f"tx_amount received_amount sent_amount utilisation {_STEP4_DOUBLES}",
+        ).replace(
+            "\nFROM step4_risk",
+            "".join(
+                f",\n  {rounded_sql(c)} AS {c}_risk"
+                for c in ("received_amount", "sent_amount", "utilisation")
+            )
+            + "\nFROM step4_risk",
+        ),
         "behaviour_features": _features(CM, "cm", CUSTOMER_MONTH, 5, _STEP5_LONGS, _STEP5_DOUBLES),
         "features_full": _full_features(),
         "features_full_sql": _full_features(),
@@ -494,6 +505,17 @@ def oracle_sql() -> dict[str, str]:
             f"{sm_key} {' '.join(long_columns)} {_lag_names(long_columns)} {_SMOOTH_LONGS}",
             f"{' '.join(double_columns)} {_lag_names(double_columns)} {_SMOOTH_DOUBLES}",
         ),
+        "psi_cuts": _with(
+            SM, LONG_FORM, PSI,
+            """listed AS (SELECT col AS "column", unnest(range(1, len(cut) + 1)) AS position,
+              unnest(cut) AS cut FROM cuts)""",
+        )
+        + comparable_sql("listed", "position", "cut", '"column"'),
+        "iqr_bounds": _with(
+            SM, LONG_FORM, RATES,
+            'limits AS (SELECT col AS "column", lo AS low, hi AS high FROM bounds)',
+        )
+        + comparable_sql("limits", doubles="low high", others='"column"'),
         "psi_by_column_month": _with(SM, LONG_FORM, PSI) + comparable_sql("psi", "period", "psi", '"column"'),
         "drift_by_month": _with(*drift_all)
         + comparable_sql(

@@ -162,6 +162,20 @@ def risk_features(spark, sf_dir):
     return df.select(*spec.key, *features.RISK_COLUMNS)
 
 
+@query
+def risk_joined_back(spark, sf_dir):
+    """Risk features as a table of their own, joined back; carried columns get a suffix."""
+    spec = CUSTOMER_MONTH
+    panel = stage(panels.customer_month(spark, sf_dir))
+    base = features.activity_features(features.card_features(panel, spec), spec)
+    carried = ["received_amount", "sent_amount", "utilisation"]
+    risk = features.risk_features(base, spec)
+    joined = features.attach(base, risk, spec, [*features.RISK_COLUMNS, *carried], suffix="_risk")
+    return joined.select(
+        *spec.key, "tx_amount", *carried, *features.RISK_COLUMNS, *[f"{c}_risk" for c in carried]
+    )
+
+
 @query
 def behaviour_features(spark, sf_dir):
     spec = CUSTOMER_MONTH
@@ -249,6 +263,22 @@ def _rates(panel):
     return drift.outlier_rate_by_column_period(panel, "period", MEASURES)
 
 
+@query
+def psi_cuts(spark, sf_dir):
+    panel = _report_panel(spark, sf_dir)
+    base = selection.filter_periods(panel, "period", drift.baseline_periods(panel, "period"))
+    cuts = drift.psi_cuts(base, MEASURES)
+    rows = [(c, i + 1, v) for c, values in cuts.items() for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "column string, position int, cut double")
+
+
+@query
+def iqr_bounds(spark, sf_dir):
+    bounds = drift.iqr_bounds(_report_panel(spark, sf_dir), MEASURES)
+    rows = [(c, *limits) for c, limits in bounds.items() if limits]
+    return spark.createDataFrame(rows, "column string, low double, high double")
+
+
 @query
 def psi_by_column_month(spark, sf_dir):
     return _psi(_report_panel(spark, sf_dir))
