@@ -18,7 +18,7 @@ from .selection import align_features, filter_period
 
 SCORE = "score"
 #: up to this many contacts the n-th row is found by a bounded top-k, beyond by ranks
-TOP_K_ROWS = 100_000
+TOP_K_ROWS = 20_000
 
 
 def clip_probability(p: Column) -> Column:

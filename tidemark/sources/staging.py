@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,25 +25,43 @@ def staging_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _write(df: DataFrame) -> tuple[str, DataFrame]:
+    spark = df.sparkSession
+    path = f"{staging_dir(spark)}/tidemark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path, spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the staging folder and return the table that reads it.
 
     Multi-pass operators read their narrow input from here: it is computed once, survives
     the loss of executors, is scanned column by column, and every pass sees the same rows.
+    The table stays until :func:`drop_staged`.
     """
-    spark = df.sparkSession
-    path = f"{staging_dir(spark)}/tidemark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path, table = _write(df)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return table
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """A staged table for the length of a block, for results that are fetched inside it."""
+    path, table = _write(df)
+    try:
+        yield table
+    finally:
+        _delete(df.sparkSession, path)
 
 
 def drop_staged(spark: SparkSession) -> int:
-    """Delete the tables staged by this process; returns their number."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
+    """Delete the tables left by :func:`stage` in this process; returns their number."""
     count = 0
     while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        count += bool(path.getFileSystem(conf).delete(path, True))
+        count += _delete(spark, _written.pop())
     return count
