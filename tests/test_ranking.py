@@ -112,8 +112,10 @@ def test_bucket_edges_isolate_frequent_values():
 PROBS = [i * 0.1 for i in range(10)] + [1.0]
 
 
-@pytest.mark.parametrize("slices", [2, 16, 300])
-def test_exact_percentiles_equal_numpy(spark, slices):
+@pytest.mark.parametrize("window_rows", [5_000_000, 0])
+@pytest.mark.parametrize("margin", [0.3, 0.02, 0.0005])
+def test_exact_percentiles_equal_numpy(spark, monkeypatch, margin, window_rows):
+    monkeypatch.setattr(quantiles, "WINDOW_ROWS", window_rows)
     rng = np.random.default_rng(11)
     n = 2500
     hot = np.where(rng.random(n) < 0.4, 3.0, rng.normal(size=n) * 1e6)
@@ -127,13 +129,19 @@ def test_exact_percentiles_equal_numpy(spark, slices):
         }
     )
     df = spark.createDataFrame(frame).withColumn("none", F.lit(None).cast("double")).repartition(5)
-    got = quantiles.exact_percentiles(df, [*frame.columns, "none"], PROBS, slices)
+    got = quantiles.exact_percentiles(df, [*frame.columns, "none"], PROBS, margin)
     assert got["none"] is None
     for c in frame.columns:
         expected = np.quantile(frame[c].dropna(), PROBS)
         np.testing.assert_allclose(got[c], expected, rtol=1e-13, err_msg=c)
 
 
+def test_misplaced_edges_change_no_quantile(spark, monkeypatch):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    monkeypatch.setattr(quantiles, "cut_points", lambda *a: [[-5.0, 3.0, 990.5]])
+    assert quantiles.exact_percentiles(df, ["x"], [0.0, 0.5, 1.0])["x"] == [0.0, 499.5, 999.0]
+
+
 def test_exact_percentiles_of_few_rows(spark):
     df = spark.createDataFrame([(1.0,), (None,), (2.0,)], "x double")
     assert quantiles.exact_percentiles(df, ["x"], [0.0, 0.25, 1.0])["x"] == [1.0, 1.25, 2.0]

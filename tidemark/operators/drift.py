@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from .quantiles import exact_percentiles
+from .quantiles import MARGIN, exact_percentiles
 from .selection import distinct_periods
 
 
@@ -23,11 +23,11 @@ def psi_cuts(
     df: DataFrame,
     columns: Sequence[str],
     buckets: int = fixed.PSI_BUCKETS,
-    slices: int | None = None,
+    margin: float = MARGIN,
 ) -> dict[str, list[float]]:
     """Distinct quantile cuts of each column; fewer than two for constant or empty ones."""
     grid = [i * (1.0 / buckets) for i in range(buckets)] + [1.0]
-    quantiles = exact_percentiles(df, columns, grid, slices)
+    quantiles = exact_percentiles(df, columns, grid, margin)
     return {c: sorted(set(q)) if q else [] for c, q in quantiles.items()}
 
 
@@ -52,7 +52,7 @@ def psi_by_column_period(
     baseline: Sequence[int] | None = None,
     buckets: int = fixed.PSI_BUCKETS,
     epsilon: float = fixed.PSI_EPSILON,
-    slices: int | None = None,
+    margin: float = MARGIN,
 ) -> DataFrame:
     """PSI of every column and period against the baseline periods.
 
@@ -64,7 +64,7 @@ def psi_by_column_period(
     columns = list(columns)
     baseline = baseline_periods(df, period) if baseline is None else list(baseline)
     in_baseline = F.col(period).isin(baseline)
-    cuts = psi_cuts(df.filter(in_baseline), columns, buckets, slices)
+    cuts = psi_cuts(df.filter(in_baseline), columns, buckets, margin)
 
     numbers = ", ".join(_bin_number(c, cuts[c]) for c in columns)
     counts = (
@@ -139,10 +139,10 @@ def drift_by_period(psi: DataFrame, period: str, n_columns: int) -> DataFrame:
 
 
 def iqr_bounds(
-    df: DataFrame, columns: Sequence[str], factor: float = fixed.IQR_FACTOR, slices: int | None = None
+    df: DataFrame, columns: Sequence[str], factor: float = fixed.IQR_FACTOR, margin: float = MARGIN
 ) -> dict[str, tuple[float, float] | None]:
     """Q1 - factor * IQR and Q3 + factor * IQR over all periods."""
-    quartiles = exact_percentiles(df, columns, [0.25, 0.75], slices)
+    quartiles = exact_percentiles(df, columns, [0.25, 0.75], margin)
     return {
         c: (q[0] - factor * (q[1] - q[0]), q[1] + factor * (q[1] - q[0])) if q else None
         for c, q in quartiles.items()
@@ -150,7 +150,7 @@ def iqr_bounds(
 
 
 def outlier_rate_by_column_period(
-    df: DataFrame, period: str, columns: Sequence[str], slices: int | None = None
+    df: DataFrame, period: str, columns: Sequence[str], margin: float = MARGIN
 ) -> DataFrame:
     """Share of the rows of a period outside the bounds, per column.
 
@@ -158,7 +158,7 @@ def outlier_rate_by_column_period(
     has no rate.  One aggregate over the panel with the bounds as literals.
     """
     columns = list(columns)
-    bounds = iqr_bounds(df, columns, slices=slices)
+    bounds = iqr_bounds(df, columns, margin=margin)
 
     def rate(c: str) -> str:
         if bounds[c] is None:

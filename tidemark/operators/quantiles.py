@@ -2,127 +2,142 @@
 
 The built-in ``percentile`` keeps every distinct value of a group in one task.  Here
 
-1. approximate quantiles cut each column into many small buckets,
-2. one counting pass finds in which bucket each wanted order statistic lies,
-3. a second pass keeps only the rows in those buckets and counts their values.
+1. approximate quantiles put a narrow bracket around each wanted probability,
+2. one counting pass over the buckets between these edges finds, exactly, in which bucket each
+   wanted order statistic lies and at which position,
+3. a second pass keeps only the values in those buckets, counts equal ones map-side, and
+   picks the positions.
 
-The cut points only decide how much the last pass keeps; the result is exact.
+An edge that is off only makes the last pass keep more; the result is exact in any case.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import bucket_edges, bucketed, quantile_grid, slice_count
+from ..sources.staging import staged
+from .ranking import cut_points, rank_rows
+
+MARGIN = 0.002
+#: a bucket with more distinct rows than this is not ordered by a single task
+WINDOW_ROWS = 5_000_000
 
 
 def _valid(c: str) -> str:
     return f"`{c}` IS NOT NULL AND NOT isnan(`{c}`)"
 
 
-def _located(histogram: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """(column, probability, bucket, position in the bucket, weight) of the wanted values."""
-    by_bucket = Window.partitionBy("column").orderBy("bucket")
-    ranked = histogram.select(
+def _bucket(c: str, edges: Sequence[float]) -> str:
+    """SQL text of the bucket number of a valid value."""
+    cases = " ".join(f"WHEN `{c}` < {e!r}D THEN {i}" for i, e in enumerate(edges))
+    return f"CASE {cases} ELSE {len(edges)} END" if edges else "0"
+
+
+def _located(histogram: DataFrame, probs: Sequence[float]) -> list:
+    """Bucket, position inside it and interpolation weight of the wanted values.
+
+    A probability whose two neighbouring values lie in different buckets gives two rows.
+    """
+    ranked = histogram.selectExpr(
         "column",
         "bucket",
         "n",
-        F.coalesce(
-            F.sum("n").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("before"),
-        F.sum("n").over(Window.partitionBy("column")).alias("total"),
+        "coalesce(sum(n) OVER (PARTITION BY column ORDER BY bucket"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
+        "sum(n) OVER (PARTITION BY column) AS total",
     )
     # a projection of its own: rows are multiplied after the windows, not before
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    ranked = ranked.select("*", wanted)
-    exact = (F.col("total") - 1) * F.col("prob")
-    low, high = F.floor(exact), F.ceil(exact)
-    inside = [
-        (pos >= F.col("before")) & (pos < F.col("before") + F.col("n")) for pos in (low, high)
-    ]
-    return ranked.filter(inside[0] | inside[1]).select(
-        "column",
-        "bucket",
-        "prob",
-        F.when(inside[0], low - F.col("before")).alias("low"),
-        F.when(inside[1], high - F.col("before")).alias("high"),
-        (exact - low).alias("weight"),
+    listed = ", ".join(f"{p!r}D" for p in probs)
+    wanted = ranked.selectExpr("*", f"explode(array({listed})) AS prob")
+    exact = "(total - 1) * prob"
+    placed = wanted.selectExpr(
+        "column", "bucket", "n", "prob", f"{exact} - floor({exact}) AS weight",
+        f"floor({exact}) - before AS low", f"ceil({exact}) - before AS high",
+    )
+    inside = "({0} >= 0 AND {0} < n)"
+    return placed.filter(f"{inside.format('low')} OR {inside.format('high')}").collect()
+
+
+def _running(counted: DataFrame, ordered_at_once: bool) -> DataFrame:
+    """Add ``last``: the number of values up to each distinct value of its bucket."""
+    if ordered_at_once:
+        return counted.selectExpr(
+            "*",
+            "sum(n) OVER (PARTITION BY column, bucket ORDER BY value"
+            " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last",
+        )
+    return rank_rows(
+        counted, "value", "value", ["column", "bucket"], row="_row", running={"last": "n"}
     )
 
 
 def exact_percentiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], slices: int | None = None
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], margin: float = MARGIN
 ) -> dict[str, list[float] | None]:
     """Quantiles with linear interpolation per column; NULL and NaN are left out.
 
-    ``None`` for a column without values.  Reads ``df`` three times: pass a table or a
-    staged frame.  Only ``len(columns) * len(probs)`` numbers reach the driver.
+    ``None`` for a column without values.  ``margin`` is the half width of the brackets.
+    Reads ``df`` three times: pass a table or a staged frame.  Only columns x probabilities
+    numbers reach the driver.
     """
     columns, probs = list(columns), [float(p) for p in probs]
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    slices = slices or slice_count(df)
-    edges = [bucket_edges(q)[0] for q in quantile_grid(df, columns, slices)]
-    names = [f"_bucket{i}" for i in range(len(columns))]
-    cut = bucketed(df, {n: (c, e) for n, c, e in zip(names, columns, edges)})
+    df = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns])
+    grid = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
+    quantiles = cut_points(df, columns, grid, margin / 2, int(4 / margin**2))
+    buckets = [_bucket(c, sorted(set(q))) for c, q in zip(columns, quantiles)]
 
     numbers = ", ".join(
-        f"CASE WHEN {_valid(c)} THEN CAST({n} AS INT) END" for c, n in zip(columns, names)
+        f"CASE WHEN {_valid(c)} THEN {b} END" for c, b in zip(columns, buckets)
     )
     histogram = (
-        cut.selectExpr(f"posexplode(array({numbers})) AS (column, bucket)")
-        .filter(F.col("bucket").isNotNull())
+        df.selectExpr(f"posexplode(array({numbers})) AS (column, bucket)")
+        .filter("bucket IS NOT NULL")
         .groupBy("column", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    located = _located(histogram, probs).collect()
-
+    located = _located(histogram, probs)
     wanted: dict[int, set[int]] = {}
     for row in located:
         wanted.setdefault(row["column"], set()).add(row["bucket"])
     if not wanted:
         return {c: None for c in columns}
+
     picked = ", ".join(
-        f"CASE WHEN {_valid(columns[i])} AND {names[i]} IN ({', '.join(map(str, sorted(buckets)))})"
-        f" THEN struct({i} AS column, CAST({names[i]} AS INT) AS bucket, `{columns[i]}` AS value) END"
-        for i, buckets in sorted(wanted.items())
+        f"CASE WHEN {_valid(columns[i])} AND {buckets[i]} IN ({', '.join(map(str, sorted(chosen)))})"
+        f" THEN struct({i} AS column, {buckets[i]} AS bucket, `{columns[i]}` AS value) END"
+        for i, chosen in sorted(wanted.items())
     )
-    by_value = Window.partitionBy("column", "bucket").orderBy("value")
     counted = (
-        cut.selectExpr(f"inline(array_compact(array({picked})))")
+        df.selectExpr(f"inline(array_compact(array({picked})))")
         .groupBy("column", "bucket", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("last", F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0)))
     )
-    targets = df.sparkSession.createDataFrame(
+    if max(r["n"] for r in located) <= WINDOW_ROWS:
+        found = _values_at(_running(counted, True), located)
+    else:
+        with staged(counted) as table:
+            found = _values_at(_running(table, False), located)
+    values = {(r["column"], r["prob"]): r["value"] for r in found}
+    return {
+        c: [values[i, p] for p in probs] if i in wanted else None for i, c in enumerate(columns)
+    }
+
+
+def _values_at(running: DataFrame, located: list) -> list:
+    """The interpolated values: (column, prob, value)."""
+    # columns x probabilities rows, so adaptive execution broadcasts them
+    targets = running.sparkSession.createDataFrame(
         [(r["column"], r["bucket"], r["prob"], r["low"], r["high"], r["weight"]) for r in located],
         "column int, bucket int, prob double, low long, high long, weight double",
     )
-    first = F.col("last") - F.col("n")
-
-    def value_at(position: str) -> Column:
-        p = F.col(position)
-        return F.max(F.when((p >= first) & (p < F.col("last")), F.col("value")))
-
-    # the targets are columns x probabilities rows, so this join is broadcast by size
-    found = (
-        counted.join(targets, ["column", "bucket"])
+    at = "max(CASE WHEN {0} >= last - n AND {0} < last THEN value END) AS {0}"
+    return (
+        running.join(targets, ["column", "bucket"])
         .groupBy("column", "prob")
-        .agg(
-            value_at("low").alias("low"),
-            value_at("high").alias("high"),
-            F.max("weight").alias("weight"),
-        )
-        .select(
-            "column",
-            "prob",
-            (F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")).alias("value"),
-        )
+        .agg(F.expr(at.format("low")), F.expr(at.format("high")), F.max("weight").alias("weight"))
+        .selectExpr("column", "prob", "low + (high - low) * weight AS value")
         .collect()
     )
-    values = {(r["column"], r["prob"]): r["value"] for r in found}
-    return {
-        c: [values[i, p] for p in probs] if i in wanted else None for i, c in enumerate(columns)
-    }

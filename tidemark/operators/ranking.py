@@ -40,19 +40,20 @@ def slice_count(df: DataFrame) -> int:
     return max(16, min(4096, 4 * partitions))
 
 
-def quantile_grid(df: DataFrame, columns: Sequence[str], slices: int) -> list[list[float]]:
-    """Approximate quantiles of several columns in one pass, sorted, duplicates kept.
-
-    They serve as cut points, so a sample of ``SAMPLE_PER_SLICE * slices`` rows is enough, as
-    in Spark's own range partitioning.  It keeps the quantile sketches, which end up on the
-    driver, small however many files the table has.  Counting a Parquet table reads footers.
+def cut_points(
+    df: DataFrame, columns: Sequence[str], grid: Sequence[float], error: float, sample_rows: int
+) -> list[list[float]]:
+    """Approximate quantiles of several columns in one pass, in order, duplicates kept.
+
+    They only serve as cut points, so a sample is enough, as in Spark's own range
+    partitioning.  It keeps the quantile sketches, which end up on the driver, small however
+    many files the table has.  Counting a Parquet table reads footers.
     """
     chosen = df.select(*columns)
-    rows, wanted = chosen.count(), SAMPLE_PER_SLICE * slices
-    if rows > wanted:
-        chosen = chosen.sample(wanted / rows, seed=17).repartition(SAMPLE_TASKS)
-    grid = [i / slices for i in range(1, slices)]
-    return chosen.approxQuantile(list(columns), grid, 1.0 / (4 * slices))
+    rows = chosen.count()
+    if rows > sample_rows:
+        chosen = chosen.sample(sample_rows / rows, seed=17).repartition(SAMPLE_TASKS)
+    return chosen.approxQuantile(list(columns), list(grid), error)
 
 
 def bucket_edges(quantiles: Sequence[float]) -> tuple[list[float], dict[int, int]]:
@@ -100,7 +101,10 @@ def sliced_by_value(
     key = key.cast("double")
     key = F.when(key == 0, F.lit(0.0)).otherwise(key)  # one zero: -0.0 sorts like 0.0
     df = df.withColumns({_KEY: key, _TIE: F.col(tie).cast("double")})
-    key_quantiles, tie_quantiles = quantile_grid(df, [_KEY, _TIE], slices)
+    grid = [i / slices for i in range(1, slices)]
+    key_quantiles, tie_quantiles = cut_points(
+        df, [_KEY, _TIE], grid, 1.0 / (4 * slices), SAMPLE_PER_SLICE * slices
+    )
     key_splits, single = bucket_edges(key_quantiles)
     tie_splits, _ = bucket_edges(tie_quantiles)
     df = bucketed(df, {_RANGE: (_KEY, key_splits), "_part": (_TIE, tie_splits)})
