@@ -46,14 +46,22 @@ def cut_points(
     """Approximate quantiles of several columns in one pass, in order, duplicates kept.
 
     They only serve as cut points, so a sample is enough, as in Spark's own range
-    partitioning.  It keeps the quantile sketches, which end up on the driver, small however
-    many files the table has.  Counting a Parquet table reads footers.
+    partitioning.  It keeps the merging of the quantile sketches small however many files the
+    table has.  Counting a Parquet table reads footers.
     """
     chosen = df.select(*columns)
     rows = chosen.count()
     if rows > sample_rows:
         chosen = chosen.sample(sample_rows / rows, seed=17).repartition(SAMPLE_TASKS)
-    return chosen.approxQuantile(list(columns), list(grid), error)
+    probs = ", ".join(f"{p!r}D" for p in grid)
+    number = "CASE WHEN NOT isnan(CAST(`{0}` AS DOUBLE)) THEN CAST(`{0}` AS DOUBLE) END"
+    found = chosen.selectExpr(
+        *[
+            f"percentile_approx({number.format(c)}, array({probs}), {round(1 / error)}) AS _q{i}"
+            for i, c in enumerate(columns)
+        ]
+    ).first()
+    return [list(q or []) for q in found]
 
 
 def bucket_edges(quantiles: Sequence[float]) -> tuple[list[float], dict[int, int]]:

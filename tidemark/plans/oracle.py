@@ -124,8 +124,21 @@ TARGETS = f"""targets AS (
 # -- the five feature steps -----------------------------------------------------------------
 
 
-def _steps(base: str, spec) -> list[str]:
-    params = sql_steps.parameters(spec, base)
+def _ranked(base: str) -> str:
+    """The rankings of tenure inside a period, by plain windows."""
+    entity = "customer_id" if base == "cm" else "supplier_id"
+    rows = f"(PARTITION BY period ORDER BY tenure NULLS LAST, {entity})"
+    peers = "(PARTITION BY period ORDER BY tenure NULLS LAST)"
+    return f"""ranked AS (
+  SELECT *, row_number() OVER {rows} AS tenure_row,
+    percent_rank() OVER {peers} AS tenure_percent_rank, cume_dist() OVER {peers} AS tenure_cume_dist,
+    ntile(4) OVER {rows} AS tenure_quartile, ntile(10) OVER {rows} AS tenure_decile
+  FROM {base}
+)"""
+
+
+def _steps(spec) -> list[str]:
+    params = sql_steps.parameters(spec, "ranked")
     return [
         f"{s.name} AS (\n{sql_steps.render(s.template, params)})" for s in sql_steps.standard_steps()
     ]
@@ -169,10 +182,10 @@ _STEP5_DOUBLES = (
 
 
 def _features(base_cte: str, base: str, spec, step: int, longs: str, doubles: str, others="") -> str:
-    steps = _steps(base, spec)
+    steps = _steps(spec)
     names = [s.split(" ", 1)[0] for s in steps]
     key = " ".join(spec.key)
-    return _with(base_cte, *steps[:step]) + comparable_sql(
+    return _with(base_cte, _ranked(base), *steps[:step]) + comparable_sql(
         names[step - 1], f"{key} {longs}", doubles, others
     )
 
@@ -450,7 +463,7 @@ def oracle_sql() -> dict[str, str]:
             CM, "cm", CUSTOMER_MONTH, 1, _STEP1_LONGS, f"{_COMBO_DOUBLES} {_SEQUENCE_DOUBLES}",
             "period_date",
         ),
-        "numeric_summary": _with(CM, _steps("cm", CUSTOMER_MONTH)[0],
+        "numeric_summary": _with(CM, _ranked("cm"), _steps(CUSTOMER_MONTH)[0],
                                  "summary AS (SELECT *, customer_id AS entity_id FROM step1_cards)")
         + comparable_sql(
             "summary",

@@ -166,8 +166,8 @@ def risk_features(spark, sf_dir):
 def risk_joined_back(spark, sf_dir):
     """Risk features as a table of their own, joined back; carried columns get a suffix."""
     spec = CUSTOMER_MONTH
-    panel = stage(panels.customer_month(spark, sf_dir))
-    base = features.activity_features(features.card_features(panel, spec), spec)
+    panel = panels.customer_month(spark, sf_dir)
+    base = stage(features.activity_features(features.card_features(panel, spec), spec))
     carried = ["received_amount", "sent_amount", "utilisation"]
     risk = features.risk_features(base, spec)
     joined = features.attach(base, risk, spec, [*features.RISK_COLUMNS, *carried], suffix="_risk")
@@ -195,9 +195,7 @@ def features_full(spark, sf_dir):
 @query
 def features_full_sql(spark, sf_dir):
     panel = stage(panels.customer_month(spark, sf_dir))
-    panel.createOrReplaceTempView("panel_base")
-    params = sql_steps.parameters(CUSTOMER_MONTH, "panel_base")
-    return sql_steps.run_steps(spark, sql_steps.standard_steps(), params)
+    return sql_steps.run_standard_steps(panel, CUSTOMER_MONTH)
 
 
 # -- generated features ---------------------------------------------------------------------

@@ -6,14 +6,8 @@ SELECT
   lag({activity}, 3) OVER hist AS activity_lag3,
   avg({activity}) OVER last4 AS activity_avg4,
   {activity} - lag({activity}, 1) OVER hist AS activity_delta1,
-  {activity} - lag({activity}, 2) OVER hist AS activity_delta2,
-  row_number() OVER (PARTITION BY {period_col} ORDER BY {tenure} NULLS LAST, {id_col}) AS tenure_row,
-  percent_rank() OVER seniority AS tenure_percent_rank,
-  cume_dist() OVER seniority AS tenure_cume_dist,
-  ntile(4) OVER (PARTITION BY {period_col} ORDER BY {tenure} NULLS LAST, {id_col}) AS tenure_quartile,
-  ntile(10) OVER (PARTITION BY {period_col} ORDER BY {tenure} NULLS LAST, {id_col}) AS tenure_decile
+  {activity} - lag({activity}, 2) OVER hist AS activity_delta2
 FROM step1_cards
 WINDOW
   hist AS (PARTITION BY {id_col} ORDER BY {period_col}),
-  last4 AS (PARTITION BY {id_col} ORDER BY {period_col} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW),
-  seniority AS (PARTITION BY {period_col} ORDER BY {tenure} NULLS LAST)
+  last4 AS (PARTITION BY {id_col} ORDER BY {period_col} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)

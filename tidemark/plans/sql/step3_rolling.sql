@@ -1,14 +1,8 @@
-SELECT f.*, s.activity_mean4, s.activity_max4, s.activity_min4, s.activity_slope4
-FROM step2_activity f
-LEFT JOIN (
-  SELECT
-    {id_col},
-    CAST({period_col} AS INT) AS {period_col},
-    avg({activity}) OVER four AS activity_mean4,
-    max({activity}) OVER four AS activity_max4,
-    min({activity}) OVER four AS activity_min4,
-    CASE WHEN history_index > 1 THEN regr_slope({activity}, {tenure}) OVER four END AS activity_slope4
-  FROM step2_activity
-  WINDOW four AS (
-    PARTITION BY {id_col} ORDER BY {period_col} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)
-) s ON f.{id_col} = s.{id_col} AND f.{period_col} = s.{period_col}
+SELECT
+  *,
+  avg({activity}) OVER four AS activity_mean4,
+  max({activity}) OVER four AS activity_max4,
+  min({activity}) OVER four AS activity_min4,
+  CASE WHEN history_index > 1 THEN regr_slope({activity}, {tenure}) OVER four END AS activity_slope4
+FROM step2_activity
+WINDOW four AS (PARTITION BY {id_col} ORDER BY {period_col} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)

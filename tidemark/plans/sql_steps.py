@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.features import tenure_rankings
 from ..spec import PanelSpec
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
@@ -31,7 +32,11 @@ def read_step(path: str | Path) -> Step:
 
 
 def standard_steps() -> list[Step]:
-    """The five feature steps as SQL."""
+    """The five feature steps as SQL.
+
+    They expect the columns of ``tenure_rankings`` in the base table: SQL alone would rank a
+    whole period in one window group.
+    """
     return [read_step(p) for p in sorted(SQL_DIR.glob("*.sql"))]
 
 
@@ -66,3 +71,9 @@ def run_steps(
         result = spark.sql(render(step.template, params))
         result.createOrReplaceTempView(step.name)
     return result
+
+
+def run_standard_steps(df: DataFrame, spec: PanelSpec, base_table: str = "panel_base") -> DataFrame:
+    """Register the ranked panel and run the five steps.  ``df``: a table or staged frame."""
+    tenure_rankings(df, spec).createOrReplaceTempView(base_table)
+    return run_steps(df.sparkSession, standard_steps(), parameters(spec, base_table))

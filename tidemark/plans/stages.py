@@ -40,9 +40,7 @@ def build_features(
     if generation == "steps":
         return features.features_full(df, spec)
     if generation == "sql":
-        sources.register(df, "panel_base")
-        params = sql_steps.parameters(spec, "panel_base")
-        return sql_steps.run_steps(df.sparkSession, sql_steps.standard_steps(), params)
+        return sql_steps.run_standard_steps(df, spec)
     if generation == "v2":
         return group_features.features_v2(df, spec)
     if generation == "v3":
