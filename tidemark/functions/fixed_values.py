@@ -27,6 +27,18 @@ FOLDS = 5
 FOLD_SEED = 12345
 CANARIES = 20
 SEARCH_TRIALS = 30
+EARLY_STOP = 200
+
+# Ranges of the parameter search, for the parameters that Spark's trees have.
+SEARCH_SPACE = {
+    "stepSize": ("log", 5e-4, 0.2),
+    "maxDepth": ("int", 2, 16),
+    "minInstancesPerNode": ("int", 5, 2000),
+    "maxBins": ("int", 63, 511),
+    "subsamplingRate": ("uniform", 0.5, 1.0),
+    "featureSubsetStrategy": ("uniform", 0.4, 1.0),
+    "minInfoGain": ("uniform", 0.0, 1.0),
+}
 
 # Drift and outlier report.
 BASELINE_PERIODS = 19
@@ -66,6 +78,9 @@ CANARY_BLOCK_COLUMNS = (
     "foto_mes_int",
 )
 
+# Key and target columns of the bank panel.
+BANK_KEY = {"id": "numero_de_cliente", "period": "foto_mes", "target": "clase_ternaria"}
+
 # Source columns of the bank panel by role.
 BANK_ROLES = {
     "spend_a": "Master_mconsumototal",

@@ -37,7 +37,7 @@ def mean_score(scores: Sequence[Column]) -> Column:
 
 
 def model_score(df: DataFrame, model, name: str) -> DataFrame:
-    """Add the positive-class probability of a fitted pipeline and drop its helper columns."""
+    """Add the positive-class probability of a fitted model and drop its helper columns."""
     kept = df.columns
     scored = model.transform(df)
     return scored.select(*kept, vector_to_array("probability")[1].alias(name))
@@ -46,11 +46,17 @@ def model_score(df: DataFrame, model, name: str) -> DataFrame:
 def predict(
     df: DataFrame, spec: PanelSpec, models: Sequence, features: Sequence[str], strict: bool = False
 ) -> DataFrame:
-    """(id, period, score) with the mean score of one or several models."""
+    """(id, period, score) with the mean score of one or several models.
+
+    The models share their features, so the rows are prepared once for all of them.
+    """
     scored = align_features(df, features, keep=spec.key, strict=strict)
+    for step in models[0].stages[:-1]:
+        scored = step.transform(scored)
+    scored = scored.select(*spec.key, "features")
     names = [f"_model{i}" for i in range(len(models))]
     for model, name in zip(models, names):
-        scored = model_score(scored, model, name)
+        scored = model_score(scored, model.stages[-1], name)
     return scored.select(*spec.key, mean_score([F.col(n) for n in names]).alias(SCORE))
 
 

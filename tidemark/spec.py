@@ -45,9 +45,4 @@ class PanelSpec:
 
 
 #: The bank panel with its usual column names.
-BANK_PANEL = PanelSpec(
-    id="numero_de_cliente",
-    period="foto_mes",
-    target="clase_ternaria",
-    roles=dict(fixed.BANK_ROLES),
-)
+BANK_PANEL = PanelSpec(**fixed.BANK_KEY, roles=dict(fixed.BANK_ROLES))
