@@ -6,6 +6,9 @@ columns, also those whose names clash with a result's, never reach it.
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +21,13 @@ WORD = rf"[^{SPACE}]+"
 #: a side with a counted number of narrow rows (a few numbers each) up to this one is broadcast
 BROADCAST_ROWS = 1_000_000
 
-__all__ = ["BROADCAST_ROWS", "SPACE", "WORD", "documents", "join_counted", "lower_ascii", "stage", "staging_dir", "word_count"]
+__all__ = ["BROADCAST_ROWS", "SPACE", "WORD", "documents", "join_counted", "lower_ascii", "ship_by_value", "stage", "staging_dir", "word_count"]
+
+
+def ship_by_value(module: str) -> None:
+    """Functions of the module travel inside the tasks that run them, so executors need not have
+    this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
 def text_of(column: str = "text") -> Column:

@@ -16,15 +16,20 @@ empty table gives an empty result.  Lines and texts of any length are handled wh
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, documents, join_counted, stage, text_of, word_count
+from tidemark.llm.common import SPACE, WORD, documents, join_counted, stage, text_of, word_count
 
 # The characters that count as symbols.
 SYMBOLS = r"[#*$%&|<>]"
 
+# White space, other than single blanks and line ends, that a line's normal form has not.
+_UNEVEN = ("  ", "\t", "\x0b", "\x0c", "\r")
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -48,7 +53,7 @@ def with_statistics(df: DataFrame) -> DataFrame:
     a text of n words takes n log n steps and no shuffle.
     """
     kept = list(df.columns)
-    words = df.withColumn("_w", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    words = df.withColumn("_w", F.array_remove(F.split("text", f"[{SPACE}]+", -1), ""))
     words = words.withColumn("_lines", F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)))
     hashed = words.select(
         *kept,
@@ -56,14 +61,14 @@ def with_statistics(df: DataFrame) -> DataFrame:
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.transform("_w", lambda x: F.xxhash64(x)).alias("_h"),
+        "_w",
     )
-    last = F.greatest(F.size("_h") - 2, F.lit(0))
+    last = F.greatest(F.size("_w") - 2, F.lit(0))
     windows = hashed.withColumn(
         "_t",
         F.zip_with(
-            F.zip_with(F.slice("_h", F.lit(1), last), F.slice("_h", F.lit(2), last), lambda a, b: F.xxhash64(a, b)),
-            F.slice("_h", F.lit(3), last),
+            F.zip_with(F.slice("_w", F.lit(1), last), F.slice("_w", F.lit(2), last), lambda a, b: F.xxhash64(a, b)),
+            F.slice("_w", F.lit(3), last),
             lambda ab, c: F.xxhash64(ab, c),
         ),
     )
@@ -71,7 +76,7 @@ def with_statistics(df: DataFrame) -> DataFrame:
         "_s",
         F.when(
             F.size(F.array_distinct("_t")) < F.size("_t"),
-            F.array_sort(F.zip_with("_t", F.sequence(F.lit(0), F.size("_t") - 1), lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+            F.sort_array(F.zip_with("_t", F.sequence(F.lit(0), F.size("_t") - 1), lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
         ),
     )
     pairs = F.zip_with(
@@ -91,28 +96,29 @@ def base_failed(limits: Limits) -> Column:
     return (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words"))
 
 
-def normalised(line: Column) -> Column:
-    """Lower case, digits as 0, white space as single blanks, none at the ends."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"[0-9]+", "0"), r"[\x20\x09-\x0D]+", " "))
+def _normal_lines(text: Column) -> Column:
+    """The lines in lower case, digits as 0, other white space and runs of blanks as one blank."""
+    plain = F.lower(text)
+    plain = F.when(text.rlike("[0-9]"), F.regexp_replace(plain, "[0-9]+", "0")).otherwise(plain)
+    uneven = reduce(or_, [F.contains(text, F.lit(x)) for x in _UNEVEN])
+    plain = F.when(uneven, F.regexp_replace(plain, r"\x20{2,}|[\x09\x0B-\x0D]+", " ")).otherwise(plain)
+    return F.split(plain, "\n", -1)
 
 
-def _line_hashes(df: DataFrame) -> Column:
-    """Distinct hashes of the normalised lines with a word, with the words they hold."""
-    return F.array_distinct(
-        F.filter(
-            F.transform(
-                F.split("text", "\n", -1),
-                lambda x: F.struct(F.xxhash64(normalised(x)).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("n")),
-            ),
-            lambda x: x["n"] > 0,
-        )
-    )
+def _line_hash(line: Column) -> Column:
+    return F.xxhash64(F.trim(line))
 
 
-def _lines(docs: DataFrame, host: str) -> DataFrame:
-    """One row per document and distinct line: document key, host, line (both hashed), words."""
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("_text"), F.xxhash64(host).alias("_host"), F.explode(_line_hashes(docs)).alias("_l"))
-    return keyed.select("doc_id", "_text", "_host", F.xxhash64("_host", "_l.h").alias("_line"), F.col("_l.n").cast("long").alias("_n"))
+def _lines(docs: DataFrame, host: str, texts: bool = False) -> DataFrame:
+    """One row per document and line: document key, host, line (both hashed), with ``texts`` the line's words."""
+    lines = _normal_lines(F.col("text"))
+    found = F.transform(lines, lambda x: F.struct(_line_hash(x).alias("h"), x.alias("x"))) if texts else F.array_distinct(F.transform(lines, _line_hash))
+    # outer: else the array is computed once more for an inferred filter; the text itself must not ride through explode, which copies its row for every line
+    arrays = docs.select("doc_id", F.xxhash64("text").alias("_text"), F.xxhash64(host).alias("_host"), found.alias("_ls"))
+    rows = arrays.select("doc_id", "_text", "_host", F.explode_outer("_ls").alias("_l"))
+    h = F.col("_l.h") if texts else F.col("_l")
+    more = [F.col("_l.x").alias("_x")] if texts else []
+    return rows.where(h != _line_hash(F.lit(""))).select("doc_id", "_text", "_host", F.xxhash64("_host", h).alias("_line"), *more)
 
 
 def frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
@@ -126,7 +132,9 @@ def frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limit
     counts = _lines(docs, host).groupBy("_host", "_line").agg(F.count_distinct("_text").alias("_c"))
     limit = F.greatest(F.lit(float(limits.line_texts)), limits.line_share * F.col("_texts"))
     often = stage(counts.where(F.col("_c") > limits.line_texts).join(totals, "_host").where(F.col("_c") > limit).select("_line", limit.alias("_limit")))
-    found = stage(join_counted(_lines(docs, host), often, ["_line"]).dropDuplicates(["doc_id", "_text", "_line"]))
+    matched = join_counted(_lines(docs, host, texts=True), often, ["_line"])
+    # a line that a text repeats counts with all its words; equal rows of the table count once
+    found = stage(matched.groupBy("doc_id", "_text", "_line").agg(F.first("_limit").alias("_limit"), F.max(word_count(F.col("_x"))).alias("_n")))
     texts = documents(docs).select("doc_id", F.xxhash64("text").alias("_text"), word_count(F.col("text")).alias("_words"))
     in_often = found.groupBy("doc_id", "_text").agg(F.sum("_n").alias("_often"))
     own = (
@@ -173,7 +181,7 @@ def apply_quality(docs: DataFrame, host: str = "source", limits: Limits = Limits
     judged = passed.select("_row", F.col("_row")["doc_id"].alias("doc_id"), F.col("text").alias("_t0"), F.xxhash64("text").alias("_text"), F.col("n_words").alias("_words"), F.xxhash64(F.col("_row")[host]).alias("_host"))
     joined = _null_safe(judged, lines, ["doc_id", "_text"], "left")
     left = joined.where(F.col("_words") - F.coalesce("removed_words", F.lit(0)) >= limits.left_share * F.col("_words"))
-    hashed = F.transform(F.split("_t0", "\n", -1), lambda x: F.struct(x.alias("x"), F.xxhash64("_host", F.xxhash64(normalised(x))).alias("h")))
+    hashed = F.zip_with(F.split("_t0", "\n", -1), _normal_lines(F.col("_t0")), lambda x, y: F.struct(x.alias("x"), F.xxhash64("_host", _line_hash(y)).alias("h")))
     kept_lines = F.filter(hashed, lambda x: ~F.array_contains("removed", x["h"]))
     text = F.when(F.col("removed").isNull(), F.col("_t0")).otherwise(F.array_join(F.transform(kept_lines, lambda x: x["x"]), "\n"))
     out = left.select("_row", text.alias("_new"))
