@@ -22,7 +22,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, WORD, documents, join_counted, stage, text_of, word_count
+from tidemark.llm.common import SPACE, WORD, documents, join_counted, join_null_safe, stage, text_of, word_count
 
 # The characters that count as symbols.
 SYMBOLS = r"[#*$%&|<>]"
@@ -138,11 +138,11 @@ def frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limit
     texts = documents(docs).select("doc_id", F.xxhash64("text").alias("_text"), word_count(F.col("text")).alias("_words"))
     in_often = found.groupBy("doc_id", "_text").agg(F.sum("_n").alias("_often"))
     own = (
-        _null_safe(in_often, texts.dropDuplicates(["doc_id", "_text"]), ["doc_id", "_text"])
+        join_null_safe(in_often, texts.dropDuplicates(["doc_id", "_text"]), ["doc_id", "_text"])
         .where(F.col("_often") <= (1 - limits.own_share) * F.col("_words"))
         .select("doc_id", "_text")
     )
-    held = _null_safe(found, own, ["doc_id", "_text"]).groupBy("_line").agg(F.count_distinct("_text").alias("_c"), F.first("_limit").alias("_limit"))
+    held = join_null_safe(found, own, ["doc_id", "_text"]).groupBy("_line").agg(F.count_distinct("_text").alias("_c"), F.first("_limit").alias("_limit"))
     gone = held.where(F.col("_c") > F.col("_limit")).select("_line")
     return (
         found.join(gone, "_line").groupBy("doc_id", "_text")
@@ -150,18 +150,11 @@ def frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limit
     )
 
 
-def _null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """An equi-join in which null equals null; the right side brings its other columns."""
-    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
-    condition = [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in on]
-    return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
-
-
 def quality_verdicts(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
     """One row per row: ``doc_id``, the statistics, ``base_failed``, ``removed_words``, ``kept``."""
     removed = frequent_lines(docs, host, limits).select("doc_id", "_text", "removed_words")
     stats = with_statistics(documents(docs)).select("*", F.xxhash64("text").alias("_text")).drop("text")
-    joined = _null_safe(stats, removed, ["doc_id", "_text"], "left")
+    joined = join_null_safe(stats, removed, ["doc_id", "_text"], "left")
     gone = F.coalesce("removed_words", F.lit(0)).cast("long")
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -179,7 +172,7 @@ def apply_quality(docs: DataFrame, host: str = "source", limits: Limits = Limits
     packed = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"), text_of().alias("text"))
     passed = with_statistics(packed).where(~base_failed(limits))
     judged = passed.select("_row", F.col("_row")["doc_id"].alias("doc_id"), F.col("text").alias("_t0"), F.xxhash64("text").alias("_text"), F.col("n_words").alias("_words"), F.xxhash64(F.col("_row")[host]).alias("_host"))
-    joined = _null_safe(judged, lines, ["doc_id", "_text"], "left")
+    joined = join_null_safe(judged, lines, ["doc_id", "_text"], "left")
     left = joined.where(F.col("_words") - F.coalesce("removed_words", F.lit(0)) >= limits.left_share * F.col("_words"))
     hashed = F.zip_with(F.split("_t0", "\n", -1), _normal_lines(F.col("_t0")), lambda x, y: F.struct(x.alias("x"), F.xxhash64("_host", _line_hash(y)).alias("h")))
     kept_lines = F.filter(hashed, lambda x: ~F.array_contains("removed", x["h"]))
