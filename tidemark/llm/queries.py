@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, pii, quality, secrets, warc
+from tidemark.llm import chat, decontaminate, mixing, pii, quality, secrets, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, benchmark))
@@ -45,6 +49,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_warc": op4_warc,
     "op5_chat_formatting": op5_chat_formatting,
