@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, mixing, pii, quality, secrets, warc
+from tidemark.llm import chat, decontaminate, langid, mixing, pii, quality, secrets, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.secret_spans(table(spark, sf_dir, "documents")))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_personal_data": op7_personal_data,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scans": op9_secret_scans,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
