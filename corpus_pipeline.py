@@ -1,20 +1,51 @@
-"""A training corpus from documents: five stages, each written as Parquet and read again."""
+"""A training mix from documents: five stages, each written as Parquet and read again.
+
+Every stage but the last returns the columns of ``documents``; the last one says how many words
+the mix takes of every document that is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality
+from tidemark.llm import decontaminate, mixing, neardup, quality, secrets
 from tidemark.llm.common import stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the rules reject and the lines that a host repeats."""
+    """Drops the documents that the rules reject, and from the rest the lines that a host repeats."""
     return quality.apply_quality(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of every class of near copies, the one with the smallest id."""
+    return neardup.without_near_duplicates(docs)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a window of a benchmark item."""
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts by their kind; no document goes."""
+    return secrets.redact(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document, repeats counted."""
+    return mixing.taken(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("benchmark passages", benchmark_passages),
+    ("secret scans", secret_scans),
+    ("source mix", source_mix),
+]
 
+#: SQL cannot express line limits by own content, signatures or the mix
 ORACLE_SQL = None
 
 

@@ -35,7 +35,7 @@ from tidemark.llm.common import documents, ship_by_value, stage, word_count
 ship_by_value(__name__)
 
 #: rows of a slice whose running sums one task computes, about
-SLICE_ROWS = 20_000
+SLICE_ROWS = 4_000
 
 
 @dataclass(frozen=True)

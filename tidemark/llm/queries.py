@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, langid, mixing, neardup, pii, quality, secrets, warc
+from tidemark.llm import chat, decontaminate, langid, lm, mixing, neardup, pii, quality, secrets, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).drop("source")
 
@@ -57,6 +61,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scores": op1_lm_scores,
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_warc": op4_warc,
