@@ -22,7 +22,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, WORD, documents, join_counted, join_null_safe, stage, text_of, word_count
+from tidemark.llm.common import BROADCAST_ROWS, SPACE, WORD, documents, join_counted, join_null_safe, stage, text_of, word_count
 
 # The characters that count as symbols.
 SYMBOLS = r"[#*$%&|<>]"
@@ -150,30 +150,37 @@ def frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limit
     )
 
 
-def quality_verdicts(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
-    """One row per row: ``doc_id``, the statistics, ``base_failed``, ``removed_words``, ``kept``."""
-    removed = frequent_lines(docs, host, limits).select("doc_id", "_text", "removed_words")
+def _verdicts(docs: DataFrame, removed: DataFrame, limits: Limits) -> DataFrame:
     stats = with_statistics(documents(docs)).select("*", F.xxhash64("text").alias("_text")).drop("text")
-    joined = join_null_safe(stats, removed, ["doc_id", "_text"], "left")
+    joined = join_null_safe(stats, removed.select("doc_id", "_text", "removed_words"), ["doc_id", "_text"], "left")
     gone = F.coalesce("removed_words", F.lit(0)).cast("long")
     return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", "_text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed(limits).alias("base_failed"), gone.alias("removed_words"),
         (~base_failed(limits) & (F.col("n_words") - gone >= limits.left_share * F.col("n_words"))).alias("kept"),
     )
 
 
+def quality_verdicts(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
+    """One row per row: ``doc_id``, the statistics, ``base_failed``, ``removed_words``, ``kept``."""
+    return _verdicts(docs, frequent_lines(docs, host, limits), limits).drop("_text")
+
+
 def apply_quality(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
     """The documents that pass, their host's repeated lines removed, with the input's columns.
 
-    ``n_chars``, if there is one, follows the text.
+    ``n_chars``, if there is one, follows the text.  Verdicts are staged before they are filtered:
+    a filter on them would be pushed below the statistics and compute those once more.
     """
-    lines = frequent_lines(docs, host, limits)
-    packed = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"), text_of().alias("text"))
-    passed = with_statistics(packed).where(~base_failed(limits))
-    judged = passed.select("_row", F.col("_row")["doc_id"].alias("doc_id"), F.col("text").alias("_t0"), F.xxhash64("text").alias("_text"), F.col("n_words").alias("_words"), F.xxhash64(F.col("_row")[host]).alias("_host"))
-    joined = join_null_safe(judged, lines, ["doc_id", "_text"], "left")
-    left = joined.where(F.col("_words") - F.coalesce("removed_words", F.lit(0)) >= limits.left_share * F.col("_words"))
+    key = ["doc_id", "_text"]
+    removed = stage(frequent_lines(docs, host, limits))
+    passed = stage(_verdicts(docs, removed, limits).select(*key, "kept")).where("kept").select(*key).distinct()
+    lines = stage(join_null_safe(passed, removed.select(*key, "removed"), key, "left"))
+    keyed = docs.select(
+        F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"), "doc_id", text_of().alias("_t0"),
+        F.xxhash64(text_of()).alias("_text"), F.xxhash64(host).alias("_host"))
+    small = lines.count() <= BROADCAST_ROWS
+    left = join_null_safe(keyed, F.broadcast(lines) if small else lines, key)
     hashed = F.zip_with(F.split("_t0", "\n", -1), _normal_lines(F.col("_t0")), lambda x, y: F.struct(x.alias("x"), F.xxhash64("_host", _line_hash(y)).alias("h")))
     kept_lines = F.filter(hashed, lambda x: ~F.array_contains("removed", x["h"]))
     text = F.when(F.col("removed").isNull(), F.col("_t0")).otherwise(F.array_join(F.transform(kept_lines, lambda x: x["x"]), "\n"))
