@@ -171,7 +171,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame, list
     parts = table.where("size > 0").select("*", F.explode(F.sequence(F.floor(F.col("start") / n), F.floor((ends - 1) / n))).alias("block"))
     first = F.greatest(F.col("block") * n - F.col("start"), F.lit(0))
     members = parts.select("_s", "block", "start", "doc_id", "_h", first.alias("from_word"), (F.least(F.col("block") * n + n, ends) - F.col("start") - first).alias("n_words"))
-    return slots.join(members, ["_s", "block"]), table, listed
+    # both sides grow with the corpus, whatever the optimizer makes of the few rows before mapInPandas
+    return slots.hint("merge").join(members, ["_s", "block"]), table, listed
 
 
 def with_text(mix_rows: DataFrame, docs: DataFrame) -> DataFrame:
