@@ -1,0 +1,35 @@
+import numpy as np
+
+from tests.llm.helpers import ODD_TEXTS, crc, documents, empty
+from tidemark.llm import langid
+
+
+def test_odd_texts(spark):
+    docs = documents(spark, [*ODD_TEXTS, "plain words here", "noch ein paar Worte"])
+    rows = langid.language_id(docs).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(rows) == len(ODD_TEXTS) + 2
+    for r in rows:
+        text = texts[r.doc_id] or ""
+        assert r.held_out == (crc(r.doc_id, 3) == 1) and 0 <= r.score <= 1
+        assert (r.lang_pred == "und") == (not any(c.isalpha() for c in text))
+    assert langid.language_id(empty(spark)).count() == 0
+
+
+def test_nothing_to_learn(spark):
+    docs = spark.createDataFrame([(1, "abc", None), (2, "def", None)], "doc_id long, text string, lang string")
+    assert {(r.lang_pred, r.score) for r in langid.language_id(docs).collect()} == {("und", 0.0)}
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet".replace("sf0.001", "sf0.01"))
+    langs = {r.doc_id: r.lang for r in docs.collect()}
+    rows = [r for r in langid.language_id(docs).collect() if r.held_out]
+    assert len(rows) > 250 and np.mean([r.lang_pred == langs[r.doc_id] for r in rows]) > 0.98
+
+
+def test_temperature_flattens_overconfident_scores():
+    rng = np.random.default_rng(0)
+    labels = rng.integers(0, 2, 2000)
+    logits = np.where(np.arange(2)[None, :] == labels[:, None], 1.0, 0.0) * rng.choice([8.0, -8.0], (2000, 1), p=[0.8, 0.2])
+    assert langid.temperature(logits, labels) > 3 and langid.temperature(logits[:0], labels[:0]) == 1.0

@@ -43,7 +43,7 @@ _WORDS = {
 def mod97(value: Column) -> Column:
     """True if the letters and digits of an account number leave 1 modulo 97."""
     compact = F.regexp_replace(value, " ", "")
-    moved = F.split(F.concat(F.substring(compact, 5, 64), F.substring(compact, 1, 4)), "(?!^)", -1)
+    moved = F.regexp_extract_all(F.concat(F.substring(compact, 5, 64), F.substring(compact, 1, 4)), F.lit("."), F.lit(0))
     rest = F.aggregate(moved, F.lit(0), lambda a, c: F.when(
         F.ascii(c) < 58, (a * 10 + F.ascii(c) - 48) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97).cast("int"))
     return rest == 1

@@ -97,9 +97,8 @@ def base_failed(limits: Limits) -> Column:
 
 
 def _normal_lines(text: Column) -> Column:
-    """The lines in lower case, digits as 0, other white space and runs of blanks as one blank."""
+    """The lines in lower case, other white space and runs of blanks as one blank."""
     plain = F.lower(text)
-    plain = F.when(text.rlike("[0-9]"), F.regexp_replace(plain, "[0-9]+", "0")).otherwise(plain)
     uneven = reduce(or_, [F.contains(text, F.lit(x)) for x in _UNEVEN])
     plain = F.when(uneven, F.regexp_replace(plain, r"\x20{2,}|[\x09\x0B-\x0D]+", " ")).otherwise(plain)
     return F.split(plain, "\n", -1)
@@ -115,9 +114,9 @@ def _lines(docs: DataFrame, host: str, texts: bool = False) -> DataFrame:
     found = F.transform(lines, lambda x: F.struct(_line_hash(x).alias("h"), x.alias("x"))) if texts else F.array_distinct(F.transform(lines, _line_hash))
     # outer: else the array is computed once more for an inferred filter; the text itself must not ride through explode, which copies its row for every line
     arrays = docs.select("doc_id", F.xxhash64("text").alias("_text"), F.xxhash64(host).alias("_host"), found.alias("_ls"))
-    rows = arrays.select("doc_id", "_text", "_host", F.explode_outer("_ls").alias("_l"))
+    rows = arrays.select("doc_id", "_text", "_host", F.posexplode_outer("_ls").alias("_at", "_l"))
     h = F.col("_l.h") if texts else F.col("_l")
-    more = [F.col("_l.x").alias("_x")] if texts else []
+    more = ["_at", F.col("_l.x").alias("_x")] if texts else []
     return rows.where(h != _line_hash(F.lit(""))).select("doc_id", "_text", "_host", F.xxhash64("_host", h).alias("_line"), *more)
 
 
@@ -133,8 +132,9 @@ def frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limit
     limit = F.greatest(F.lit(float(limits.line_texts)), limits.line_share * F.col("_texts"))
     often = stage(counts.where(F.col("_c") > limits.line_texts).join(totals, "_host").where(F.col("_c") > limit).select("_line", limit.alias("_limit")))
     matched = join_counted(_lines(docs, host, texts=True), often, ["_line"])
-    # a line that a text repeats counts with all its words; equal rows of the table count once
-    found = stage(matched.groupBy("doc_id", "_text", "_line").agg(F.first("_limit").alias("_limit"), F.max(word_count(F.col("_x"))).alias("_n")))
+    # a line that a text repeats counts every time; equal rows of the table count once
+    once = matched.groupBy("doc_id", "_text", "_line", "_at").agg(F.first("_limit").alias("_limit"), F.first(word_count(F.col("_x"))).alias("_n"))
+    found = stage(once.groupBy("doc_id", "_text", "_line").agg(F.first("_limit").alias("_limit"), F.sum("_n").alias("_n")))
     texts = documents(docs).select("doc_id", F.xxhash64("text").alias("_text"), word_count(F.col("text")).alias("_words"))
     in_often = found.groupBy("doc_id", "_text").agg(F.sum("_n").alias("_often"))
     own = (
