@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, decontaminate, langid, lm, mixing, neardup, pii, quality, secrets, warc
+from tidemark.llm.oracle import ORACLE_SQL
+
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,5 +76,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scans": op9_secret_scans,
     "op10_language_id": op10_language_id,
 }
-
-ORACLE_SQL: dict[str, str] = {}
