@@ -1,5 +1,7 @@
 import math
 import random
+from datetime import date
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -7,6 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark import PanelSpec
 from tidemark.operators import quantiles, ranking, sampling
 
 
@@ -62,7 +65,7 @@ def test_standing_equals_plain_windows(spark, slices):
 
 def test_no_slice_holds_a_hot_value(spark):
     df = skewed(spark, n=4000)
-    sliced = ranking.sliced_by_value(df, F.col("x"), "id", slices=20)
+    sliced = ranking.sliced_by_value(df, "x", "id", slices=20)
     sizes = sliced.groupBy("_slice").count().agg(F.max("count"), F.count("count")).first()
     assert sizes[0] <= 3 * 4000 / 20
     assert sizes[1] <= 4 * 20
@@ -112,10 +115,8 @@ def test_bucket_edges_isolate_frequent_values():
 PROBS = [i * 0.1 for i in range(10)] + [1.0]
 
 
-@pytest.mark.parametrize("window_rows", [5_000_000, 0])
 @pytest.mark.parametrize("margin", [0.3, 0.02, 0.0005])
-def test_exact_percentiles_equal_numpy(spark, monkeypatch, margin, window_rows):
-    monkeypatch.setattr(quantiles, "WINDOW_ROWS", window_rows)
+def test_exact_percentiles_equal_numpy(spark, margin):
     rng = np.random.default_rng(11)
     n = 2500
     hot = np.where(rng.random(n) < 0.4, 3.0, rng.normal(size=n) * 1e6)
@@ -157,3 +158,42 @@ def test_nth_smallest_hash(spark, monkeypatch, final_rows):
         assert sampling.nth_smallest_hash(df, "h", n) == ordered[n - 1]
     with pytest.raises(ValueError):
         sampling.nth_smallest_hash(df, "h", 3001)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize(
+    "kind, make",
+    [
+        ("long", lambda i: 2**53 + i % 40),
+        ("long", lambda i: -(2**62) + i % 40),
+        ("decimal(38,3)", lambda i: Decimal(2**60 + i % 40) + Decimal("0.001")),
+        ("string", lambda i: f"prefix-{i % 40:03d}" if i % 3 else "é" + str(i % 7)),
+        ("date", lambda i: date(2020, 1, 1 + i % 28)),
+        ("double", lambda i: [float("nan"), 0.5, -0.5, 1e300, 0.0][i % 5]),
+    ],
+)
+def test_keys_and_ties_of_any_type(spark, kind, make, descending):
+    """Keys beyond 2^53, text and missing values; string ids; a NULL group."""
+    rows = [(f"id{i * 37 % 1000:04d}", None if i % 4 == 0 else i % 2, None if i % 11 == 0 else make(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, f"id string, grp int, x {kind}").repartition(3).cache()
+    got = ranking.rank_rows(df, "x", "id", ["grp"], descending=descending, row="n", slices=8)
+    missing = F.isnan("x") | F.col("x").isNull() if kind == "double" else F.col("x").isNull()
+    value = F.col("x").desc_nulls_last() if descending else F.col("x").asc_nulls_last()
+    nulls = F.col("x").isNull()
+    w = Window.partitionBy("grp").orderBy(missing, nulls, value, "id")
+    expected = df.select("id", "grp", F.row_number().over(w).alias("n"))
+    assert sorted(map(repr, map(tuple, got.select("id", "grp", "n").collect()))) == sorted(map(repr, map(tuple, expected.collect())))
+
+
+def test_standing_keeps_a_null_group(spark):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else 1, float(i % 5)) for i in range(100)], "id long, g int, x double")
+    got = ranking.standing(df, "x", "id", ["g"], slices=4).collect()
+    assert len(got) == 100 and {r["group_size"] for r in got if r["g"] is None} == {25}
+
+
+def test_folds_keep_rows_without_a_label(spark):
+    spec = PanelSpec(id="id", period="p", target="y")
+    df = spark.createDataFrame([(f"c{i}", 1, None if i % 5 == 0 else i % 2) for i in range(100)], "id string, p int, y int")
+    got = sampling.stratified_folds(df, spec, "y").collect()
+    assert len(got) == 100
+    assert all(sum(r["y"] is None and r["fold"] == k for r in got) == 4 for k in range(5))

@@ -33,10 +33,8 @@ def test_mean_score_is_clipped(spark):
     assert row["one"] == 1 - 1e-15 and row["none"] is None
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 50])
-def test_top_n(scores, monkeypatch, n, limit):
-    monkeypatch.setattr(scoring, "TOP_K_ROWS", limit)
+def test_top_n(scores, n):
     rows = scoring.top_n_flag(scores, SPEC, n).collect()
     assert {r["id"] for r in rows if r["contact"] == 1} == set(range(1, min(n, 4) + 1))
     assert len(rows) == 4
@@ -87,9 +85,17 @@ def test_profit_curve_per_group_with_many_ties(spark):
         assert got[g] == (best, at)
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_profit_top_n(scores, monkeypatch, limit):
-    monkeypatch.setattr(evaluation, "TOP_K_ROWS", limit)
+def test_rows_without_a_score_come_last(spark):
+    rows = [(1, 202101, 0.9, 1), (2, 202101, 0.8, 0), (3, 202101, None, 1), (4, 202101, float("nan"), 1), (5, 202101, 0.1, 0)]
+    df = spark.createDataFrame(rows, f"{SPEC.id} long, {SPEC.period} int, score double, hit int")
+    flagged = scoring.top_n_flag(df, SPEC, 2).collect()
+    assert {r[SPEC.id] for r in flagged if r["contact"] == 1} == {1, 2}
+    assert [r[SPEC.id] for r in scoring.sort_scores(df, SPEC).collect()][:3] == [1, 2, 5]
+    assert tuple(evaluation.profit_top_n(df, "score", "hit", SPEC.id, 1).first()) == (1, 780_000)
+    assert tuple(evaluation.profit_top_n(df, "score", "hit", SPEC.id, 3).first()) == (3, 740_000)
+
+
+def test_profit_top_n(scores):
     for n, expected in ((1, (1, 780_000)), (2, (2, 760_000)), (9, (4, 1_520_000))):
         assert tuple(evaluation.profit_top_n(scores, "score", "hit", "id", n).first()) == expected
 

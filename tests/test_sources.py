@@ -1,4 +1,5 @@
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,38 @@ def test_staging_uses_the_checkpoint_folder(spark, panel):
     assert staging.drop_staged(spark) >= 1
 
 
+def test_staged_tables_end_with_their_scope(spark, panel):
+    outer = staging.stage(panel)
+    with staging.staging_scope(spark):
+        inner = staging.stage(panel)
+        with staging.staging_scope(spark):
+            staging.stage(panel)
+        assert inner.count() == panel.count()
+        folder = inner.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+        assert os.path.isdir(folder.replace("//", "/"))
+    assert not os.path.isdir(folder.replace("//", "/"))
+    assert outer.count() == panel.count()
+    assert staging.drop_staged(spark) >= 1
+
+
+def test_no_local_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.staging_dir(Session())
+
+
 STEPS = [
     sql_steps.Step(
         "typed", "SELECT *, CAST({period_col} AS BIGINT) AS month_number FROM {base_table}"

@@ -22,8 +22,6 @@ from ..sources.staging import staged
 from .ranking import cut_points, rank_rows
 
 MARGIN = 0.002
-#: a bucket with more distinct rows than this is not ordered by a single task
-WINDOW_ROWS = 5_000_000
 
 
 def _valid(c: str) -> str:
@@ -61,14 +59,11 @@ def _located(histogram: DataFrame, probs: Sequence[float]) -> list:
     return placed.filter(f"{inside.format('low')} OR {inside.format('high')}").collect()
 
 
-def _running(counted: DataFrame, ordered_at_once: bool) -> DataFrame:
-    """Add ``last``: the number of values up to each distinct value of its bucket."""
-    if ordered_at_once:
-        return counted.selectExpr(
-            "*",
-            "sum(n) OVER (PARTITION BY column, bucket ORDER BY value"
-            " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last",
-        )
+def _running(counted: DataFrame) -> DataFrame:
+    """Add ``last``: the number of values up to each distinct value of its bucket.
+
+    ``counted`` is staged.  A bucket may hold any share of a column, so its order is sliced.
+    """
     return rank_rows(
         counted, "value", "value", ["column", "bucket"], row="_row", running={"last": "n"}
     )
@@ -115,11 +110,8 @@ def exact_percentiles(
         .groupBy("column", "bucket", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    if max(r["n"] for r in located) <= WINDOW_ROWS:
-        found = _values_at(_running(counted, True), located)
-    else:
-        with staged(counted) as table:
-            found = _values_at(_running(table, False), located)
+    with staged(counted) as table:
+        found = _values_at(_running(table), located)
     values = {(r["column"], r["prob"]): r["value"] for r in found}
     return {
         c: [values[i, p] for p in probs] if i in wanted else None for i, c in enumerate(columns)

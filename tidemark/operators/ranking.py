@@ -13,6 +13,10 @@ the work; the results are exact for every choice of them.
 
 A single key value may hold any share of the rows.  Such a value is a slice range of its own
 and is divided further by the tie-breaker, which is unique within the group.
+
+Slices are cut on a number that grows with the key, rows are ordered by the key itself: keys that
+a double cannot tell apart (64-bit, decimal, text) keep their order.  NULL and NaN come last
+in either direction, and a NULL group is a group.
 """
 
 from __future__ import annotations
@@ -23,21 +27,54 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SLICE = "_slice"
 _RANGE = "_range"
 _SINGLE = "_single_value"
 _KEY = "_key"
 _TIE = "_tie"
+_GROUP = "_group"
 
 SAMPLE_PER_SLICE = 500
 SAMPLE_TASKS = 16
+#: rows of a slice, about: what one window task sorts
+ROWS_PER_SLICE = 500_000
+_EXACT = 2**53
+
+
+def slice_count(rows: int) -> int:
+    """Slices for so many rows; 16 at least."""
+    return max(16, -(-rows // ROWS_PER_SLICE))
+
+
+def numeric_image(column: Column, kind: T.DataType) -> Column:
+    """A double that never falls as the column grows."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8") if isinstance(kind, T.StringType) else column, 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    return column.cast("double")
+
 
+def _ordered(column: str, kind: T.DataType, descending: bool = False) -> Column:
+    """Sort order of a column, NULL and NaN last either way."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = F.when(F.col(column) == 0, F.lit(0.0)).otherwise(F.col(column))  # one zero
+        return (-value if descending else value).asc_nulls_last()
+    return F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
 
-def slice_count(df: DataFrame) -> int:
-    """Four slices per shuffle partition, within [16, 4096]."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(4096, 4 * partitions))
+
+def _told_apart(df: DataFrame, column: str) -> bool:
+    """Whether different values of the column have different numeric images."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.LongType, T.DecimalType)):
+        if isinstance(kind, T.DecimalType) and kind.scale > 0:
+            return kind.precision <= 15
+        largest = df.agg(F.max(F.abs(F.col(column).cast("decimal(38,0)")))).first()[0]
+        return largest is None or largest <= _EXACT
+    return not isinstance(kind, (T.StringType, T.BinaryType, T.TimestampType))
 
 
 def cut_points(
@@ -99,16 +136,19 @@ def bucketed(df: DataFrame, columns: dict[str, tuple[str, Sequence[float]]]) ->
 
 
 def sliced_by_value(
-    df: DataFrame, key: Column, tie: str, slices: int | None = None
+    df: DataFrame, key: str, tie: str, slices: int | None = None, descending: bool = False
 ) -> DataFrame:
-    """Add slice columns for the order (key ascending, NULL last; tie ascending).
+    """Add slice columns for the order (key, NaN and NULL last; tie ascending).
 
-    ``tie`` is numeric; it divides the rows of a frequent key value.
+    ``tie`` divides the rows of a frequent key value, where the key's numeric image tells
+    values apart; else such a value stays in one slice.
     """
-    slices = slices or slice_count(df)
-    key = key.cast("double")
-    key = F.when(key == 0, F.lit(0.0)).otherwise(key)  # one zero: -0.0 sorts like 0.0
-    df = df.withColumns({_KEY: key, _TIE: F.col(tie).cast("double")})
+    slices = slices or slice_count(df.count())
+    divide = _told_apart(df, key)
+    image = numeric_image(F.col(key), df.schema[key].dataType)
+    image = -image if descending else image
+    image = F.when(image == 0, F.lit(0.0)).otherwise(image)  # one zero: -0.0 sorts like 0.0
+    df = df.withColumns({_KEY: image, _TIE: numeric_image(F.col(tie), df.schema[tie].dataType)})
     grid = [i / slices for i in range(1, slices)]
     key_quantiles, tie_quantiles = cut_points(
         df, [_KEY, _TIE], grid, 1.0 / (4 * slices), SAMPLE_PER_SLICE * slices
@@ -123,18 +163,25 @@ def sliced_by_value(
     shares = [single.get(i, 0) for i in range(null_range - 1)] + [slices, slices]
     number = F.coalesce(F.col(_RANGE), F.lit(null_range)).cast("int")
     share = F.element_at(F.lit(shares), number + 1)
-    part = F.floor(F.coalesce("_part", F.lit(0)) * share / tie_parts)
+    # rows without a tie value go last, as their order has it
+    place = F.coalesce("_part", F.lit(tie_parts - 1))
+    part = F.floor(place * share / tie_parts) if divide else F.lit(0).cast("bigint")
     return df.withColumns(
         {
-            _SINGLE: share > 0,
+            _SINGLE: (share > 0) if divide else F.lit(False),
             _RANGE: number.cast("bigint"),
             _SLICE: number.cast("bigint") * (slices + 1) + part,
         }
     ).drop("_part")
 
 
-def sliced_by_hash(df: DataFrame, key: Column, digits: int = 3) -> DataFrame:
-    """Add slice columns for the order of a hexadecimal hash: its first digits."""
+def sliced_by_hash(df: DataFrame, key: Column, digits: int | None = None) -> DataFrame:
+    """Add slice columns for the order of a hexadecimal hash: its first digits.
+
+    As many digits as cut the rows into parts of :data:`ROWS_PER_SLICE`; three at least.
+    """
+    if digits is None:
+        digits = max(3, math.ceil(math.log(max(df.count(), 1) / ROWS_PER_SLICE, 16)))
     return df.withColumns({_KEY: key}).withColumn(
         _SLICE, F.conv(F.substring(_KEY, 1, digits), 16, 10).cast("bigint")
     )
@@ -167,6 +214,12 @@ def _slice_totals(df: DataFrame, group: list[str], sums: dict[str, str], extra:
     )
 
 
+def _grouped(df: DataFrame, group: list[str]) -> tuple[DataFrame, list[str]]:
+    """The group as one struct: a NULL in it equals a NULL, and a window and a plain equi-join
+    on it share their shuffle."""
+    return (df.withColumn(_GROUP, F.struct(*group)), [_GROUP]) if group else (df, [])
+
+
 def positions(
     sliced: DataFrame,
     order: Sequence[Column],
@@ -177,10 +230,10 @@ def positions(
     """Add the row number, and running totals ``{name: column}``, in ``order`` per group.
 
     ``sliced`` carries slice columns consistent with ``order``.  The window and the join
-    with the slice totals use the same keys, so the rows are shuffled once.  Group columns
-    must not be NULL.
+    with the slice totals use the same keys, so the rows are shuffled once.
     """
-    group, running = list(group), running or {}
+    running = running or {}
+    sliced, group = _grouped(sliced, list(group))
     local = Window.partitionBy(*group, _SLICE).orderBy(*order)
     up_to = local.rowsBetween(Window.unboundedPreceding, 0)
     inside = sliced.select(
@@ -189,7 +242,7 @@ def positions(
         *[F.sum(c).over(up_to).alias(f"_run_{n}") for n, c in running.items()],
     )
     totals = _slice_totals(sliced, group, running, [])
-    drop = [_SLICE, _KEY, _TIE, _RANGE, _SINGLE]
+    drop = [_SLICE, _KEY, _TIE, _RANGE, _SINGLE, _GROUP]
     kept = [c for c in sliced.columns if c not in drop]
     return inside.join(totals, [*group, _SLICE]).select(
         *kept,
@@ -210,10 +263,8 @@ def rank_rows(
 ) -> DataFrame:
     """Rank 1..n by ``key`` (ties by the ``tie`` columns), over all rows or within groups."""
     ties = [tie] if isinstance(tie, str) else list(tie)
-    value = F.col(key).cast("double")
-    value = -value if descending else value
-    sliced = sliced_by_value(df, value, ties[0], slices)
-    order = [F.col(_KEY).asc_nulls_last(), *[F.col(t).asc() for t in ties]]
+    sliced = sliced_by_value(df, key, ties[0], slices, descending)
+    order = [_ordered(key, df.schema[key].dataType, descending), *[_ordered(t, df.schema[t].dataType) for t in ties]]
     return positions(sliced, order, group, row, running)
 
 
@@ -222,13 +273,12 @@ def standing(
 ) -> DataFrame:
     """Add row_in_group, rank_in_group (ties share the first row), peers_end (last row of
     the ties) and group_size for ``key`` ascending, NULL last."""
-    group = list(group)
-    sliced = sliced_by_value(df, F.col(key), tie, slices)
-    by_key = F.col(_KEY).asc_nulls_last()
+    sliced, group = _grouped(sliced_by_value(df, key, tie, slices), list(group))
+    by_key = _ordered(key, df.schema[key].dataType)
     local = Window.partitionBy(*group, _SLICE)
     inside = sliced.select(
         "*",
-        F.row_number().over(local.orderBy(by_key, F.col(tie))).cast("bigint").alias("_row"),
+        F.row_number().over(local.orderBy(by_key, _ordered(tie, df.schema[tie].dataType))).cast("bigint").alias("_row"),
         F.rank().over(local.orderBy(by_key)).cast("bigint").alias("_rank"),
         F.count(F.lit(1)).over(local.orderBy(by_key)).alias("_peers"),
     )

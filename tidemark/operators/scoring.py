@@ -17,8 +17,6 @@ from .ranking import rank_rows
 from .selection import align_features, filter_period
 
 SCORE = "score"
-#: up to this many contacts the n-th row is found by a bounded top-k, beyond by ranks
-TOP_K_ROWS = 20_000
 
 
 def clip_probability(p: Column) -> Column:
@@ -87,13 +85,17 @@ def score_period(
 
     The scores are staged before they are ranked, so each model runs once per row.
     """
-    scores = predict(filter_period(df, spec.period, period), spec, models, features, strict)
-    return scored_table(stage(scores), spec, threshold)
+    rows = filter_period(df, spec.period, period, must_exist=False)
+    scores = stage(predict(rows, spec, models, features, strict))
+    if scores.isEmpty():
+        raise ValueError(f"no rows for period {period}")
+    return scored_table(scores, spec, threshold)
 
 
 def sort_scores(scores: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Global order by score (range-partitioned sort)."""
-    return scores.orderBy(F.col(SCORE).desc(), *spec.key)
+    """Global order by score (range-partitioned sort), rows without one last."""
+    value = F.col(SCORE)
+    return scores.orderBy(F.isnan(F.coalesce(value, F.lit(float("nan")))), value.desc_nulls_last(), *spec.key)
 
 
 def head_report(scores: DataFrame, spec: PanelSpec, rows: int = 10) -> DataFrame:
@@ -106,19 +108,12 @@ def top_n_flag(
 ) -> DataFrame:
     """1 for the first ``n`` rows by score (all rows when there are fewer), 0 for the rest.
 
-    For a contact-list sized ``n`` the last row chosen comes from a top-k and the flag is
-    a comparison with it; a larger ``n`` goes through exact ranks.
+    Rows without a score, NULL or NaN, come last.  ``scores``: a table or staged frame.
     """
     if n <= 0:
         return scores.select("*", F.lit(0).alias(name))
-    if n > TOP_K_ROWS:
-        ranked = rank_scores(scores, spec, "_rank")
-        return ranked.select(*scores.columns, (F.col("_rank") <= n).cast("int").alias(name))
-    place = F.struct((-F.col(SCORE)).alias("s"), *spec.key)
-    last = (
-        scores.select(place.alias("p")).orderBy("p").limit(n).agg(F.max("p").alias("p"))
-    )
-    return scores.select("*", F.coalesce(place <= last.scalar(), F.lit(False)).cast("int").alias(name))
+    ranked = rank_scores(scores, spec, "_rank")
+    return ranked.select(*scores.columns, (F.col("_rank") <= n).cast("int").alias(name))
 
 
 def simple_export(scores: DataFrame, spec: PanelSpec, flag: str = "contact") -> DataFrame:

@@ -70,10 +70,14 @@ def filter_periods(df: DataFrame, period: str, periods: Sequence[int]) -> DataFr
     return df.filter(F.col(period).isin(list(periods)))
 
 
-def filter_period(df: DataFrame, period: str, value: int) -> DataFrame:
-    """Rows of one period; an error when there are none."""
+def filter_period(df: DataFrame, period: str, value: int, must_exist: bool = True) -> DataFrame:
+    """Rows of one period; an error when there are none.
+
+    The check looks for a first row, which runs what ``df`` is made of: for a table or staged
+    frame that is cheap, others pass ``must_exist=False`` and check what they stage.
+    """
     chosen = df.filter(F.col(period) == value)
-    if chosen.isEmpty():
+    if must_exist and chosen.isEmpty():
         raise ValueError(f"no rows for period {value}")
     return chosen
 

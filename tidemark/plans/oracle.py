@@ -413,6 +413,17 @@ _FOLDED = f"""folded AS (
     (row_number() OVER (PARTITION BY is_leaver ORDER BY {_hash('user_id', fixed.FOLD_SEED)}) - 1) % {fixed.FOLDS} AS fold
   FROM targets
 )"""
+_NOISE = ", ".join(
+    f"CAST(concat('0x', substr(md5(concat_ws('|', user_id, period, {fixed.FOLD_SEED}, {i})), 1, 13)) AS BIGINT) / 4503599627370496.0 AS canary_{i}"
+    for i in range(1, fixed.CANARIES + 1)
+)
+
+
+def _noise_columns() -> tuple[str, str, str]:
+    counts = "events n_view n_click n_error n_purchase n_signup"
+    return f"user_id period {counts}", " ".join(["value_sum value_avg value_max", *[f"canary_{i}" for i in range(1, fixed.CANARIES + 1)]]), "target"
+
+
 _LAST_DAYS = f"(SELECT DISTINCT period FROM days ORDER BY period DESC LIMIT {FUTURE_DAYS})"
 
 
@@ -569,6 +580,14 @@ def oracle_sql() -> dict[str, str]:
         + comparable_sql("others", f"{ud_key} events", others="target"),
         "stratified_folds": _with(UD, DAYS, TARGETS, _FOLDED)
         + comparable_sql("folded", f"{ud_key} is_leaver fold"),
+        "folds_missing_label": _with(
+            UD, DAYS, TARGETS.replace("targets AS", "all_targets AS"),
+            "targets AS (SELECT user_id, period, CASE WHEN user_id % 5 <> 0 THEN is_leaver END AS is_leaver FROM all_targets)",
+            _FOLDED,
+        )
+        + comparable_sql("folded", f"{ud_key} is_leaver fold"),
+        "canary_columns": _with(UD, DAYS, f"noise AS (SELECT {_NOISE}, * FROM days)")
+        + comparable_sql("noise", *_noise_columns()),
         "aligned_matrix": _with(UD, "matrix AS (SELECT *, 0.0 AS never_seen FROM ud)")
         + comparable_sql(
             "matrix", f"{ud_key} events n_error n_purchase", "value_sum value_max never_seen"
@@ -592,6 +611,20 @@ def oracle_sql() -> dict[str, str]:
             f"top AS (SELECT *, CASE WHEN {_RANKED} <= {TOP_N} THEN 1 ELSE 0 END AS contact FROM scored)",
         )
         + comparable_sql("top", f"{ud_key} contact", "score"),
+        "top_n_missing_scores": _with(
+            *_SCORED,
+            f"""top AS (SELECT user_id, period, CASE WHEN row_number() OVER (
+                ORDER BY user_id % 3 <> 2, user_id % 3 = 0, CASE WHEN user_id % 3 = 2 THEN score END DESC, user_id, period)
+              <= count(*) FILTER (WHERE user_id % 3 = 2 AND score IS NOT NULL) OVER () + {TOP_N} THEN 1 ELSE 0 END AS contact
+              FROM scored)""",
+        )
+        + comparable_sql("top", f"{ud_key} contact"),
+        "rank_wide_keys": _with(
+            """keyed AS (SELECT concat('order-', o_orderkey) AS id, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
+              4611686018427387904 + o_orderkey % 1000 AS wide_key FROM orders)""",
+            "ranked AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY wide_key DESC, id) AS rank_desc FROM keyed)",
+        )
+        + comparable_sql("ranked", "wide_key rank_desc", others="id status"),
         "simple_export": _with(
             *_SCORED, _scored_table(_ENSEMBLE, fixed.DECISION_THRESHOLD),
             'listed AS (SELECT user_id, contact AS "Predicted" FROM ranked)',

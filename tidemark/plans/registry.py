@@ -366,6 +366,15 @@ def stratified_folds(spark, sf_dir):
     return sampling.stratified_folds(df, USER_DAY, "is_leaver")
 
 
+@query
+def folds_missing_label(spark, sf_dir):
+    """Folds where a fifth of the rows has no label."""
+    df = labels.binary_targets(_labelled_days(spark, sf_dir), "target")
+    label = F.when(F.col("user_id") % 5 != 0, F.col("is_leaver"))
+    df = stage(df.select("user_id", "period", label.alias("is_leaver")))
+    return sampling.stratified_folds(df, USER_DAY, "is_leaver")
+
+
 @query
 def canary_columns(spark, sf_dir):
     return sampling.canary_columns(_labelled_days(spark, sf_dir), USER_DAY)
@@ -396,7 +405,7 @@ def _scored_days(spark, sf_dir, period=None):
     """Targets and the mean score of three fixed models."""
     df = labels.binary_targets(_labelled_days(spark, sf_dir), "target")
     if period is not None:
-        df = selection.filter_period(df, "period", period)
+        df = selection.filter_period(df, "period", period, must_exist=False)
     score = F.round(scoring.mean_score(_model_scores()), 6)
     return df.select(
         "user_id", "period", "target", "is_gone_in_two", "is_leaver", score.alias("score")
@@ -405,7 +414,7 @@ def _scored_days(spark, sf_dir, period=None):
 
 @query
 def score_month(spark, sf_dir):
-    df = selection.filter_period(_labelled_days(spark, sf_dir), "period", SCORED_DAY)
+    df = selection.filter_period(_labelled_days(spark, sf_dir), "period", SCORED_DAY, must_exist=False)
     score = scoring.clip_probability(_model_scores()[0])
     scores = stage(df.select("user_id", "period", score.alias("score")))
     return scoring.scored_table(scores, USER_DAY)
@@ -438,6 +447,27 @@ def top_n_flag(spark, sf_dir):
     return scoring.top_n_flag(scores, USER_DAY, TOP_N)
 
 
+@query
+def top_n_missing_scores(spark, sf_dir):
+    """More contacts than proper scores: rows without a score, NULL or NaN, come last."""
+    score = F.when(F.col("user_id") % 3 == 0, F.lit(None)).when(F.col("user_id") % 3 == 1, F.lit(float("nan"))).otherwise(F.col("score"))
+    scores = stage(_scored_days(spark, sf_dir).select("user_id", "period", score.cast("double").alias("score")))
+    contacts = scores.filter(F.col("score").isNotNull() & ~F.isnan("score")).count() + TOP_N
+    return scoring.top_n_flag(scores, USER_DAY, contacts).select("user_id", "period", "contact")
+
+
+@query
+def rank_wide_keys(spark, sf_dir):
+    """Rank by a 64-bit key that a double cannot hold, ties by a text id, one group NULL."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    rows = stage(orders.select(
+        F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
+        (F.lit(2**62) + F.col("o_orderkey") % 1000).alias("wide_key"),
+    ))
+    return rank_rows(rows, "wide_key", "id", group=["status"], descending=True, row="rank_desc")
+
+
 @query
 def simple_export(spark, sf_dir):
     scores = stage(_scored_days(spark, sf_dir, SCORED_DAY).select("user_id", "period", "score"))

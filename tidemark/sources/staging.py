@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,17 +10,22 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []
+#: tables by the scope they were staged in, the innermost last; the first lives with the process
+_scopes: list[list[str]] = [[]]
 
 
 def staging_dir(spark: SparkSession) -> str:
     """The shared folder for staged tables: the session's checkpoint directory.
 
-    ``spark.checkpoint.dir`` or an earlier ``setCheckpointDir`` decides.  Only where
-    neither is set (tests on one machine) a temporary folder is made and registered.
+    ``spark.checkpoint.dir`` or an earlier ``setCheckpointDir`` decides.  Only on one machine,
+    as in tests, a temporary folder is made and registered where neither is set; on a
+    cluster executors would not see each other's files there, so that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: {master} needs a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -42,10 +48,11 @@ def stage(df: DataFrame) -> DataFrame:
 
     Multi-pass operators read their narrow input from here: it is computed once, survives
     the loss of executors, is scanned column by column, and every pass sees the same rows.
-    The table stays until :func:`drop_staged`.
+    The table lives as long as the innermost :func:`staging_scope` around the call; outside of
+    any, until :func:`drop_staged`.
     """
     path, table = _write(df)
-    _written.append(path)
+    _scopes[-1].append(path)
     return table
 
 
@@ -59,9 +66,28 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         _delete(df.sparkSession, path)
 
 
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`stage` writes inside the block are deleted at its end.
+
+    For callers that consume their results inside the block; other callers' tables are not touched.
+    """
+    mine: list[str] = []
+    _scopes.append(mine)
+    try:
+        yield
+    finally:
+        _scopes.remove(mine)
+        for path in mine:
+            _delete(spark, path)
+
+
 def drop_staged(spark: SparkSession) -> int:
-    """Delete the tables left by :func:`stage` in this process; returns their number."""
+    """Delete the tables staged outside of every scope; returns their number.
+
+    For the end of a process, or where all results have been consumed.
+    """
     count = 0
-    while _written:
-        count += _delete(spark, _written.pop())
+    while _scopes[0]:
+        count += _delete(spark, _scopes[0].pop())
     return count
