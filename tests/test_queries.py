@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tidemark.plans import oracle, registry
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLES = oracle.oracle_sql()
 TABLES = ["lineitem", "orders", "events"]
 
 
@@ -27,6 +28,7 @@ def _rows(rows, names):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
