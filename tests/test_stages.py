@@ -58,6 +58,30 @@ def test_label_features_campaign(spark, raw, tmp_path):
     models, manifest = training.load_ensemble(f"{out}/models")
     assert len(models) == 2 and manifest.seeds == [1, 2]
     assert not any(f.startswith("is_") or f in BANK_PANEL.key for f in manifest.features)
+    assert sum(manifest.metrics["confusion"].values()) > 0 and manifest.metrics["log_loss"] > 0
+    assert result.peak.first()["max_profit"] >= result.profit.first()["profit"]
+
+    # the stored ensemble gives the same ranks as the run that trained it
+    again = stages.score_stage(spark, table, f"{out}/models", str(tmp_path / "again"), 202106, contacts=10)
+    key = BANK_PANEL.key
+    first = {tuple(r[c] for c in key) for r in result.scored.filter("contact = 1").collect()}
+    assert {tuple(r[c] for c in key) for r in again.filter("contact = 1").collect()} == first
+    detail = spark.read.parquet(str(tmp_path / "again" / "detail"))
+    assert sorted(r["rank_desc"] for r in detail.collect()) == list(range(1, again.count() + 1))
+
+
+def test_search_refit_and_store(spark, tmp_path):
+    rows = [(i, 1 + i % 2, (i * 37) % 100 / 10.0, (i * 53) % 17, int((i * 37) % 100 > 70)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, period int, signal double, other int, y int")
+    df = df.select("*", F.lit(1.0).alias("w"), F.col("y").alias("hit"))
+    spec = PanelSpec("id", "period", "y")
+    matrix = training.train_matrix(df, spec, [1, 2], "y", "w", "hit")
+    space = {"stepSize": ("log", 0.05, 0.2), "minInstancesPerNode": ("int", 2, 5)}
+    manifest = stages.search_stage(matrix, spec, str(tmp_path / "m"), [1], folds=2, trials=2, space=space, **FAST)
+    models, again = training.load_ensemble(str(tmp_path / "m"))
+    assert again == manifest and len(models) == 1
+    assert len(models[0].stages[-1].trees) == manifest.metrics["best_round"] == manifest.params["maxIter"]
+    assert manifest.metrics["cv_profit"] > 0
 
 
 def test_step_generations_agree(spark, raw):

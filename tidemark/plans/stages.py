@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -13,7 +14,7 @@ from ..functions import fixed_values as fixed
 from ..operators import drift, evaluation, features, group_features, labels, sampling
 from ..operators import scoring, selection, training
 from ..sources import panels as sources
-from ..sources.staging import stage
+from ..sources.staging import stage, staged
 from ..spec import BANK_PANEL, PanelSpec
 from . import sql_steps
 
@@ -87,16 +88,32 @@ class Campaign:
     drop: Sequence[str] = (*fixed.LEAK_COLUMNS, *fixed.CANARY_BLOCK_COLUMNS)
     parallelism: int = 4
     params: dict = field(default_factory=dict)
+    #: leave out the periods that the drift and outlier report names, except the future ones
+    drop_reported: bool = False
 
 
 @dataclass(frozen=True)
 class CampaignResult:
+    """``profit``: of the contacts; ``peak``: the maximum of the whole curve and its position."""
+
     scored: DataFrame
     profit: DataFrame
+    peak: DataFrame
     models: list
     manifest: training.Manifest
 
 
+def in_sample_metrics(models: Sequence, matrix: training.TrainMatrix, spec: PanelSpec) -> dict:
+    """Log loss and confusion matrix of an ensemble on its training rows."""
+    scored = scoring.predict(matrix.frame, spec, models, matrix.features)
+    labels_of = matrix.frame.select(*spec.key, F.col(training.LABEL).alias("label"))
+    with staged(scored.join(labels_of, spec.key)) as table:
+        flagged = table.withColumn("flag", scoring.threshold_flag(F.col(scoring.SCORE)))
+        cells = evaluation.confusion_matrix(flagged, "flag", "label").collect()
+        loss = evaluation.log_loss(table, scoring.SCORE, "label").first()["log_loss"]
+    return {"log_loss": loss, "confusion": {f"{r['actual']}{r['predicted']}": r["n"] for r in cells}}
+
+
 def train_and_score(df: DataFrame, spec: PanelSpec, campaign: Campaign) -> CampaignResult:
     """Targets, noise columns, balanced sample, seed ensemble, contact list and its profit.
 
@@ -106,6 +123,10 @@ def train_and_score(df: DataFrame, spec: PanelSpec, campaign: Campaign) -> Campa
     df = labels.class_weights(labels.binary_targets(df, spec.target), spec.target)
     if campaign.canaries:
         df = sampling.canary_columns(df, spec, campaign.canaries)
+    if campaign.drop_reported:
+        reported = quality_report(stage(df.drop("row_weight", "is_gone_in_two", "is_leaver")), spec).to_drop
+        bad = {r[spec.period] for r in reported.collect()} - set(campaign.future)
+        df = df.filter(~F.col(spec.period).isin(sorted(bad))) if bad else df
     available = selection.distinct_periods(df, spec.period)
     periods = selection.resolve_periods(available, campaign.train, campaign.future)
     train, future = selection.train_future_split(df, spec.period, periods)
@@ -133,10 +154,14 @@ def train_and_score(df: DataFrame, spec: PanelSpec, campaign: Campaign) -> Campa
     profit = evaluation.profit_top_n(
         known, scoring.SCORE, "is_gone_in_two", spec.key, campaign.contacts
     )
+    peak = evaluation.profit_peak(
+        evaluation.profit_curve(known, scoring.SCORE, "is_gone_in_two", spec.key)
+    )
     manifest = training.Manifest(
-        matrix.features, list(campaign.seeds), list(periods.train), dict(campaign.params)
+        matrix.features, list(campaign.seeds), list(periods.train), dict(campaign.params),
+        in_sample_metrics(models, matrix, spec),
     )
-    return CampaignResult(scored, profit, models, manifest)
+    return CampaignResult(scored, profit, peak, models, manifest)
 
 
 def campaign_stage(
@@ -147,3 +172,46 @@ def campaign_stage(
     training.save_ensemble(result.models, result.manifest, f"{target}/models")
     sources.write_predictions(result.scored, spec, f"{target}/predictions")
     return result
+
+
+def score_stage(
+    spark: SparkSession, source: str, models: str, target: str, period: int,
+    contacts: int = fixed.CONTACTS, spec: PanelSpec = BANK_PANEL, strict: bool = True,
+) -> DataFrame:
+    """Score one period of a feature table with a stored ensemble; write detail and contact list.
+
+    The detail is sorted by rank; rank and contact flag come from the same order.
+    """
+    ensemble, manifest = training.load_ensemble(models)
+    rows = selection.filter_period(sources.read_panel(spark, source, spec), spec.period, period)
+    scores = stage(scoring.predict(rows, spec, ensemble, manifest.features, strict))
+    ranked = scoring.rank_scores(scores, spec)
+    scored = ranked.withColumn("contact", (F.col("rank_desc") <= contacts).cast("int"))
+    sources.write_predictions(scored.orderBy("rank_desc"), spec, target)
+    return scored
+
+
+def search_stage(
+    matrix: training.TrainMatrix, spec: PanelSpec, target: str, seeds: Sequence[int] = (fixed.FOLD_SEED,),
+    folds: int = fixed.FOLDS, trials: int = fixed.SEARCH_TRIALS, early_stop: int | None = fixed.EARLY_STOP,
+    space: dict[str, tuple] = fixed.SEARCH_SPACE, parallelism: int = 4, **params,
+) -> training.Manifest:
+    """Search, cross-validate the winner by round, refit it at its best round, and store it.
+
+    ``matrix.frame``: a table or staged frame.  The manifest says the winner's parameters, best
+    round, profits of the cross-validation and in-sample metrics.
+    """
+    search = training.param_search(matrix, spec, trials, folds, space=space, parallelism=parallelism, **params)
+    winner = next(r for r in search.collect() if r["is_best"])
+    chosen = {**params, **json.loads(winner["params"])}
+    rounds = training.profit_cv(matrix, spec, folds, early_stop=early_stop, parallelism=parallelism, **chosen)
+    best = next(r for r in rounds.collect() if r["is_best"])
+    chosen["maxIter"] = best["round"]
+    models = training.train_seed_ensemble(matrix, seeds, parallelism, **chosen)
+    metrics = {
+        "search_profit": winner["mean_profit"], "best_round": best["round"], "cv_profit": best["mean_profit"],
+        "cv_profit_std": best["std_profit"], **in_sample_metrics(models, matrix, spec),
+    }
+    manifest = training.Manifest(matrix.features, list(seeds), [], chosen, metrics)
+    training.save_ensemble(models, manifest, target)
+    return manifest
