@@ -17,11 +17,10 @@ def _months(spark, values, k):
 
 
 def test_month_arithmetic(spark):
-    assert _months(spark, [202104, 202112], 1) == [202105, 202201]
-    assert _months(spark, [202112], 2) == [202202]
-    assert _months(spark, [202201], -1) == [202112]
-    assert _months(spark, [202201], -25) == [201912]
-    assert _months(spark, [202104], 20) == [202212]
+    assert _months(spark, [199906, 199911, 199912], 3) == [199909, 200002, 200003]
+    assert _months(spark, [200001], -1) == [199912]
+    assert _months(spark, [200001], -25) == [199712]
+    assert _months(spark, [200405], 20) == [200601]
 
 
 def test_month_arithmetic_inverts(spark):
@@ -48,13 +47,15 @@ def _by_key(df):
 
 
 def test_label_of_small_panel(spark):
-    panel = _panel(spark, [(111, 202104), (111, 202105), (111, 202106), (222, 202104), (222, 202105)])
+    """One customer over a year's end, one who leaves two months before the last one."""
+    panel = _panel(spark, [(7, 202311), (7, 202312), (7, 202401), (7, 202402), (9, 202311), (9, 202312)])
     expected = {
-        (111, 202104): "CONTINUA",
-        (111, 202105): "BAJA+2",
-        (111, 202106): "BAJA+1",
-        (222, 202104): "BAJA+2",
-        (222, 202105): "BAJA+1",
+        (7, 202311): "CONTINUA",
+        (7, 202312): "CONTINUA",
+        (7, 202401): "BAJA+2",
+        (7, 202402): "BAJA+1",
+        (9, 202311): "BAJA+2",
+        (9, 202312): "BAJA+1",
     }
     assert _by_key(labels.attrition_label(panel, SPEC)) == expected
     assert _by_key(labels.label_by_join(panel, SPEC)) == expected
