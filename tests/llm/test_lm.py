@@ -54,5 +54,5 @@ def test_probabilities_sum_to_one():
 def test_training_learns_a_pattern(spark):
     """After "x" comes "y", after "p" comes "q": the pairs are likelier than the single words."""
     docs = spark.createDataFrame([(i, "x y " * 50 + "p q " * 50) for i in range(400)], "doc_id long, text string")
-    rows = [r for r in lm.scores(docs).collect() if r.held_out]
+    rows = [r for r in lm.scores(docs, lm.Settings(batch=512)).collect() if r.held_out]
     assert rows and all(r.score > 0.3 * r.base_score for r in rows)

@@ -43,7 +43,7 @@ class Settings:
     tails: int = 24
     rounds: int = 3
     step: float = 0.3
-    batch: int = 8192
+    batch: int = 32_768
     known_words: int = 1 << 18
 
 
@@ -199,20 +199,25 @@ def logits_of(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def _steps(weights: np.ndarray, squares: np.ndarray, uses: np.ndarray, rows: np.ndarray, target: np.ndarray, step: float) -> None:
-    """One Adagrad step on a batch; the gradients of a row are summed after a sort by row."""
+    """One Adagrad step on a batch; gradients are summed by weight row and class with counts.
+
+    Batches are large against the number of weight rows, so all rows are updated at once.
+    """
     error = _softmax(logits_of(weights, rows))
     error[np.arange(len(target)), target] -= 1.0
-    flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    sorted_rows = flat[order]
-    begins = np.concatenate([[0], np.flatnonzero(sorted_rows[1:] != sorted_rows[:-1]) + 1])
-    sums = np.add.reduceat(error[order // rows.shape[1]], begins, axis=0)
-    at = np.append(sorted_rows[begins], len(weights) - 1)
-    gradient = np.concatenate([sums, error.sum(axis=0, keepdims=True)])
+    by_class, columns = np.ascontiguousarray(error.T, np.float64), np.ascontiguousarray(rows.T)
+    gradient = np.zeros(weights.shape[::-1], np.float32)
+    for c, errors in enumerate(by_class):
+        gradient[c, :-1] = sum(np.bincount(column, errors, len(weights) - 1) for column in columns)
+        gradient[c, -1] = errors.sum()
+    gradient = np.ascontiguousarray(gradient.T)
     gradient /= np.float32(len(target))
-    squares[at] += gradient * gradient
-    weights[at] -= np.float32(step) * gradient / (np.sqrt(squares[at]) + np.float32(1e-5))
-    uses[at] += np.append(np.diff(np.append(begins, len(flat))), len(target)).astype(np.float32)
+    squares += gradient * gradient
+    gradient *= np.float32(step)
+    gradient /= np.sqrt(squares) + np.float32(1e-5)
+    weights -= gradient
+    uses[:-1] += np.bincount(columns.ravel(), minlength=len(weights) - 1)
+    uses[-1] += len(target)
 
 
 def _trainer(shared, settings: Settings):
