@@ -15,7 +15,7 @@ may be any store that it opens.
 
 Defined cases: a null html is the empty payload; null page ids sort first in the archive, but
 last when a response is chosen; rows with the same page id and payload: one is the response and
-the rest revisit it; an empty table gives an empty manifest.
+the rest revisit it (they are in one shard); an empty table gives an empty manifest.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import join_null_safe, ship_by_value, stage, staging_dir
+from tidemark.llm.common import join_counted, ship_by_value, stage, staging_dir
 
 ship_by_value(__name__)
 
@@ -119,6 +119,7 @@ def _writer(folder: str, roll_bytes: int):
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         roll: _Roll | None = None
         lines: list[tuple] = []
+        last, copy = None, 0
         for frame in frames:
             for row in frame.itertuples(index=False):
                 if roll is None or roll.shard != row.shard:
@@ -126,7 +127,12 @@ def _writer(folder: str, roll_bytes: int):
                         roll.close()
                         lines += roll.lines
                     roll = _Roll(folder, int(row.shard), roll_bytes)
-                data = record_bytes(row.page_id, row.url, bytes(row.payload), row.refers_to, bool(row.revisit), int(row.copy))
+                payload = bytes(row.payload)
+                # rows that share page id and payload follow one another; they are numbered
+                same = (row.page_id, payload)
+                last, copy = same, copy + 1 if same == last else 0
+                revisit = bool(row.grouped) and not (row.page_id == row.first and copy == 0)
+                data = record_bytes(row.page_id, row.url, payload, row.first if revisit else None, revisit, copy)
                 roll.add(_gzip_member(data))
         if roll is not None:
             roll.close()
@@ -147,34 +153,17 @@ def _bounds(pages: DataFrame, rows: int) -> list:
 
 
 def with_revisits(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
-    """``page_id, url, payload, refers_to, revisit, copy`` for every row.
+    """``page_id, url, payload, digest, grouped, first`` for every row.
 
     Payloads are grouped by SHA-256 as counts and the smallest id, so a payload that a third of
-    all pages share is combined before the shuffle; only groups of two or more are joined back.
+    all pages share is combined before the shuffle, and payloads themselves are not shuffled;
+    the groups of two or more rows are joined back.  ``first`` is the group's response.
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"))
-    keyed = rows.withColumn("_k", F.sha2("payload", 256))
-    groups = keyed.where(F.octet_length("payload") >= revisit_bytes).groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("page_id").alias("_first")).where("_n > 1")
-    joined = keyed.join(groups, "_k", "left")
-    # several rows may have the smallest id: they are numbered, and the first is the response
-    least = joined.where("_n > 1").where(F.col("page_id").eqNullSafe(F.col("_first")))
-    ties = least.groupBy("page_id", "_k").agg(F.count(F.lit(1)).alias("_ties")).where("_ties > 1")
-    plain = joined.where(F.col("_n").isNull() | ~F.col("page_id").eqNullSafe(F.col("_first")))
-    return _numbered(plain, least, ties)
-
-
-def _numbered(plain: DataFrame, least: DataFrame, ties: DataFrame) -> DataFrame:
-    single = join_null_safe(least, ties, ["page_id", "_k"], "left_anti")
-    # rows that agree in id and payload differ in their url at most; each distinct row is counted, not listed
-    same = join_null_safe(least, ties, ["page_id", "_k"]).groupBy("page_id", "_k", "_first", "url", "payload").agg(F.count(F.lit(1)).alias("_c"))
-    lead = same.groupBy("page_id", "_k").agg(F.min(F.struct("url")).alias("_lead"))
-    spread = join_null_safe(same, lead, ["page_id", "_k"]).select(
-        "page_id", "url", "payload", "_first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_c") - 1)).alias("copy"), (F.col("url").eqNullSafe(F.col("_lead.url"))).alias("_l"))
-    names = ["page_id", "url", "payload"]
-    out = plain.select(*names, F.when(F.col("_n").isNotNull(), F.col("_first")).alias("refers_to"), F.col("_n").isNotNull().alias("revisit"), F.lit(0).cast("long").alias("copy"))
-    out = out.unionByName(single.select(*names, F.lit(None).cast(single.schema["_first"].dataType).alias("refers_to"), F.lit(False).alias("revisit"), F.lit(0).cast("long").alias("copy")))
-    first = F.col("_l") & (F.col("copy") == 0)
-    return out.unionByName(spread.select(*names, F.when(~first, F.col("_first")).alias("refers_to"), (~first).alias("revisit"), F.when(F.col("_l"), F.col("copy")).otherwise(F.col("copy") + 1 + F.abs(F.xxhash64("url") % 1_000_000_007)).alias("copy")))
+    keyed = rows.withColumn("digest", F.unhex(F.sha2("payload", 256)))
+    large = keyed.where(F.octet_length("payload") >= revisit_bytes)
+    groups = stage(large.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first")).where("n > 1").select("digest", "first", F.lit(True).alias("grouped")))
+    return join_counted(keyed, groups, ["digest"], "left").select("page_id", "url", "payload", "digest", F.coalesce("grouped", F.lit(False)).alias("grouped"), "first")
 
 
 def write_archive(pages: DataFrame, folder: str, revisit_bytes: int = 0, roll_bytes: int = 16 << 20) -> DataFrame:
@@ -187,8 +176,8 @@ def write_archive(pages: DataFrame, folder: str, revisit_bytes: int = 0, roll_by
     # the shard is the number of bounds at or below the id; nulls are in the first
     shard = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("page_id"))) if bounds else F.lit(0)
     dealt = with_revisits(pages, revisit_bytes).withColumn("shard", F.coalesce(F.when(F.col("page_id").isNotNull(), shard), F.lit(0)).cast("int"))
-    ordered = dealt.repartitionByRange(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", F.sha2("payload", 256), "url", "copy")
-    text = ordered.select("shard", F.col("page_id").cast("string").alias("page_id"), "url", "payload", F.col("refers_to").cast("string").alias("refers_to"), "revisit", "copy")
+    ordered = dealt.repartitionByRange(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
+    text = ordered.select("shard", F.col("page_id").cast("string").alias("page_id"), "url", "payload", "grouped", F.col("first").cast("string").alias("first"))
     lines = stage(text.mapInPandas(_writer(folder, roll_bytes), _MANIFEST))
     lines.write.mode("overwrite").parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
