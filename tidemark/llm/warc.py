@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +45,7 @@ _DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 #: rows of a shard, about; sampled rows per shard that choose the bounds
-SHARD_ROWS = 20_000
+SHARD_ROWS = 4_000
 _SAMPLED = 64
 
 _MANIFEST = "shard int, file string, records long, bytes long, sha256 string"
@@ -152,6 +152,20 @@ def _bounds(pages: DataFrame, rows: int) -> list:
     return sorted({picked[len(picked) * k // shards] for k in range(1, shards)}) if picked else []
 
 
+def _at_or_below(value: Column, bounds: list) -> Column:
+    """How many of the sorted bounds are at or below the value, by binary search."""
+    listed = F.lit(bounds)
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        right = (acc["low"] < acc["high"]) & (F.get(listed, middle) <= value)
+        return F.struct(F.when(right, middle + 1).otherwise(acc["low"]).alias("low"), F.when(right, acc["high"]).otherwise(middle).alias("high"))
+
+    steps = F.lit(list(range(len(bounds).bit_length() + 1)))
+    return F.aggregate(steps, start, halve)["low"]
+
+
 def with_revisits(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
     """``page_id, url, payload, digest, grouped, first`` for every row.
 
@@ -174,7 +188,7 @@ def write_archive(pages: DataFrame, folder: str, revisit_bytes: int = 0, roll_by
     rows = pages.count()
     bounds = _bounds(pages, rows)
     # the shard is the number of bounds at or below the id; nulls are in the first
-    shard = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("page_id"))) if bounds else F.lit(0)
+    shard = _at_or_below(F.col("page_id"), bounds) if bounds else F.lit(0)
     dealt = with_revisits(pages, revisit_bytes).withColumn("shard", F.coalesce(F.when(F.col("page_id").isNotNull(), shard), F.lit(0)).cast("int"))
     ordered = dealt.repartitionByRange(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
     text = ordered.select("shard", F.col("page_id").cast("string").alias("page_id"), "url", "payload", "grouped", F.col("first").cast("string").alias("first"))
