@@ -8,8 +8,10 @@ predicted by a softmax over hashed features: the word before, the two words befo
 skips to the second and third word before, with a bias.
 
 Training: ``rounds`` passes, each over another part of the training texts, together all of them.
-Every task takes Adagrad steps on its own rows from the common weights and returns the changes;
-changes of a weight row are averaged by how often the tasks used it.  Scoring: Arrow batches,
+Every task takes Adagrad steps on its own rows from the common weights and squares and returns the
+changes of both; changes of a weight row are averaged by how often the tasks used it.  Squares are kept
+over the rounds, and small partitions are read together until a task has ``task_batches`` batches
+a round, so the number of steps follows the tokens, not the partitions.  Scoring: Arrow batches,
 as sparse gathers of weight rows.  Token counts are those of the whole training part: the words
 above a frequency that ``known_words`` bounds go with the tasks, the rest are joined as rows.
 
@@ -43,7 +45,9 @@ class Settings:
     tails: int = 24
     rounds: int = 3
     step: float = 0.3
-    batch: int = 32_768
+    batch: int = 8192
+    #: batches of a task and round, at least; partitions with less are read together
+    task_batches: int = 8
     known_words: int = 1 << 18
 
 
@@ -199,31 +203,32 @@ def logits_of(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def _steps(weights: np.ndarray, squares: np.ndarray, uses: np.ndarray, rows: np.ndarray, target: np.ndarray, step: float) -> None:
-    """One Adagrad step on a batch; gradients are summed by weight row and class with counts.
-
-    Batches are large against the number of weight rows, so all rows are updated at once.
-    """
+    """One Adagrad step on a batch; gradients are summed by used weight row and class with counts."""
     error = _softmax(logits_of(weights, rows))
     error[np.arange(len(target)), target] -= 1.0
-    by_class, columns = np.ascontiguousarray(error.T, np.float64), np.ascontiguousarray(rows.T)
-    gradient = np.zeros(weights.shape[::-1], np.float32)
+    n = np.bincount(rows.ravel(), minlength=len(weights) - 1)
+    at = np.flatnonzero(n)
+    number = np.empty(len(n), np.int64)
+    number[at] = np.arange(len(at))
+    by_class, columns = np.ascontiguousarray(error.T, np.float64), np.ascontiguousarray(number[rows].T)
+    gradient = np.empty((error.shape[1], len(at) + 1), np.float32)
     for c, errors in enumerate(by_class):
-        gradient[c, :-1] = sum(np.bincount(column, errors, len(weights) - 1) for column in columns)
+        gradient[c, :-1] = sum(np.bincount(column, errors, len(at)) for column in columns)
         gradient[c, -1] = errors.sum()
     gradient = np.ascontiguousarray(gradient.T)
+    at = np.append(at, len(weights) - 1)
     gradient /= np.float32(len(target))
-    squares += gradient * gradient
-    gradient *= np.float32(step)
-    gradient /= np.sqrt(squares) + np.float32(1e-5)
-    weights -= gradient
-    uses[:-1] += np.bincount(columns.ravel(), minlength=len(weights) - 1)
+    total = squares[at] + gradient * gradient
+    squares[at] = total
+    weights[at] -= np.float32(step) * gradient / (np.sqrt(total) + np.float32(1e-5))
+    uses[at[:-1]] += n[at[:-1]]
     uses[-1] += len(target)
 
 
 def _trainer(shared, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, heads, order = shared.value
-        weights, squares, uses = start.copy(), np.zeros_like(start), np.zeros(len(start), np.float32)
+        start, gathered, heads, order = shared.value
+        weights, squares, uses = start.copy(), gathered.copy(), np.zeros(len(start), np.float32)
         rows, targets, size = [], [], 0
         for batch in batches:
             for value in batch.column("text"):
@@ -240,7 +245,7 @@ def _trainer(shared, settings: Settings):
         if size:
             _steps(weights, squares, uses, np.concatenate(rows), np.concatenate(targets), settings.step)
         if uses.any():
-            change = (weights - start) * uses[:, None]
+            change = np.concatenate([weights - start, squares - gathered], axis=1) * uses[:, None]
             for chunk, at in enumerate(np.array_split(np.arange(len(start)), _CHUNKS)):
                 yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([change[at].tobytes()], pa.binary()), pa.array([uses[at].tobytes()], pa.binary())], ["chunk", "change", "uses"])
     return run
@@ -258,21 +263,24 @@ def _merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def train(work: DataFrame, counts: Counts, settings: Settings) -> np.ndarray:
     """Weights of 2 ** bits feature rows and a bias row, by class."""
+    tasks = max(1, counts.tokens // (settings.rounds * settings.task_batches * settings.batch))
     context = work.sparkSession.sparkContext
     classes = len(counts.heads) + settings.tails
     weights = np.zeros(((1 << settings.bits) + 1, classes), np.float32)
+    squares = np.zeros_like(weights)
     schema = "chunk int, change binary, uses binary"
     for turn in range(settings.rounds):
-        part = work.where(~F.col("held_out") & (F.pmod(F.col("_text"), F.lit(settings.rounds)) == turn)).select("text")
-        shared = context.broadcast((weights, counts.heads, counts.order))
+        part = work.where(~F.col("held_out") & (F.pmod(F.col("_text"), F.lit(settings.rounds)) == turn)).select("text").coalesce(tasks)
+        shared = context.broadcast((weights, squares, counts.heads, counts.order))
         parts = part.mapInArrow(_trainer(shared, settings), schema)
         merged = parts.repartition(min(_CHUNKS, 16), "chunk").mapInPandas(_merged, schema)
-        weights = weights.copy()
+        weights, squares = weights.copy(), squares.copy()
         for row in merged.collect():
             at = np.array_split(np.arange(len(weights)), _CHUNKS)[row["chunk"]]
-            change = np.frombuffer(row["change"]).reshape(len(at), classes)
             uses = np.frombuffer(row["uses"])
-            weights[at] += (change / np.maximum(uses, 1.0)[:, None]).astype(np.float32)
+            change = np.frombuffer(row["change"]).reshape(len(at), 2 * classes) / np.maximum(uses, 1.0)[:, None]
+            weights[at] += change[:, :classes].astype(np.float32)
+            squares[at] += change[:, classes:].astype(np.float32)
         shared.unpersist()
     return weights
 
