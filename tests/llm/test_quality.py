@@ -72,3 +72,22 @@ def test_columns_and_empty_table(spark):
     assert all(r.n_chars == len(r.text) for r in out.collect())
     assert quality.quality_verdicts(empty(spark)).count() == 0
     assert quality.apply_quality(empty(spark)).count() == 0
+
+
+def test_a_host_of_mostly_boilerplate(spark):
+    """Pages of 60, 75 and 85 percent common lines: the lines go; the last two kinds are depleted below 30 percent."""
+    lines = [" ".join(f"nav{k}y{j}" for j in range(15)) for k in range(12)]
+    own = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    n_own = {0: 120, 1: 60, 2: 32}
+    rows = [(i, "\n".join([*lines, own(i, n_own[i % 3])]), "h") for i in range(90)]
+    got = {r.doc_id: r for r in quality.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i].removed_words == 180 for i in range(90))
+    assert all(got[i].kept == (i % 3 == 0) for i in range(90))
+
+
+def test_copies_edited_in_many_lines_stay(spark):
+    """Each of 60 copies has one word changed in three lines of ten: mostly frequent lines, nothing of their own."""
+    copy = [[f"c{k}y{j}" for j in range(12)] for k in range(10)]
+    edited = lambda i: [" ".join([*ws[:6], f"e{i}", *ws[7:]] if (k + i) % 10 < 3 else ws) for k, ws in enumerate(copy)]
+    docs = spark.createDataFrame([(i, "\n".join(edited(i)), "h") for i in range(60)], "doc_id long, text string, source string")
+    assert all(r.kept and r.removed_words == 0 for r in quality.quality_verdicts(docs).collect())

@@ -6,7 +6,10 @@ left is rejected.  DataFrame functions only.
 
 A line counts only through texts that have content of their own.  Copies of one document share
 *all* their lines; without this, a large group of copies would look like boilerplate and lose its
-last copy here, while choosing one of them is the work of near-duplicate removal.
+last copy here, while choosing one of them is the work of near-duplicate removal.  Own content is
+counted by lines, and in texts that are mostly frequent lines by word pairs: there an edited line
+of a copy is no content of its own, but a page of much boilerplate and a little text has some.  Below
+``own_words`` of it two texts are near duplicates (a ninth: they share 0.8 of their words).
 
 Defined cases: a null text is empty; a null host is a host of its own; an empty text fails the
 word limit; repeated rows each get the same verdict, and equal texts of a host count once; an
@@ -42,6 +45,8 @@ class Limits:
     line_share: float = 0.02
     #: a text counts for its lines if at least this share of its words is in unfrequented lines
     own_share: float = 0.5
+    #: or if at least this share of its words, in unfrequented lines, starts a word pair that few of these texts hold
+    own_words: float = 1 / 9
     #: rejected if less than this share of the words is left
     left_share: float = 0.3
 
@@ -136,12 +141,10 @@ def frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limit
     once = matched.groupBy("doc_id", "_text", "_line", "_at").agg(F.first("_limit").alias("_limit"), F.first(word_count(F.col("_x"))).alias("_n"))
     found = stage(once.groupBy("doc_id", "_text", "_line").agg(F.first("_limit").alias("_limit"), F.sum("_n").alias("_n")))
     texts = documents(docs).select("doc_id", F.xxhash64("text").alias("_text"), word_count(F.col("text")).alias("_words"))
-    in_often = found.groupBy("doc_id", "_text").agg(F.sum("_n").alias("_often"))
-    own = (
-        join_null_safe(in_often, texts.dropDuplicates(["doc_id", "_text"]), ["doc_id", "_text"])
-        .where(F.col("_often") <= (1 - limits.own_share) * F.col("_words"))
-        .select("doc_id", "_text")
-    )
+    in_often = found.groupBy("doc_id", "_text").agg(F.sum("_n").alias("_often"), F.first("_limit").alias("_limit"))
+    rated = stage(join_null_safe(in_often, texts.dropDuplicates(["doc_id", "_text"]), ["doc_id", "_text"]))
+    by_lines = F.col("_often") <= (1 - limits.own_share) * F.col("_words")
+    own = rated.where(by_lines).select("doc_id", "_text").unionByName(_own_by_words(docs, host, rated.where(~by_lines), often, limits))
     held = join_null_safe(found, own, ["doc_id", "_text"]).groupBy("_line").agg(F.count_distinct("_text").alias("_c"), F.first("_limit").alias("_limit"))
     gone = held.where(F.col("_c") > F.col("_limit")).select("_line")
     return (
@@ -150,6 +153,27 @@ def frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limit
     )
 
 
+def _own_by_words(docs: DataFrame, host: str, mostly: DataFrame, often: DataFrame, limits: Limits) -> DataFrame:
+    """``doc_id, _text`` of the texts of ``mostly`` frequent lines that have words of their own beside them.
+
+    A word pair is not a text's own if more of these texts than the limit hold it, in any line.
+    """
+    key = ["doc_id", "_text"]
+    mostly = stage(mostly.select(*key, "_words", "_limit"))
+    lines = join_null_safe(_lines(docs, host, texts=True).dropDuplicates([*key, "_line", "_at"]), mostly, key)
+    marked = lines.join(often.select("_line", F.lit(True).alias("_frequent")), "_line", "left")
+    words = F.array_remove(F.split(F.trim("_x"), f"[{SPACE}]+", -1), "")
+    # the last word of a line pairs with the line's end
+    pairs = F.transform(words, lambda w, i: F.xxhash64("_host", w, F.coalesce(F.get(words, i + 1), F.lit("\n"))))
+    each = stage(marked.select(*key, "_words", "_limit", F.coalesce("_frequent", F.lit(False)).alias("_frequent"), F.explode(pairs).alias("_pair")))
+    common = stage(
+        each.groupBy("_pair").agg(F.count_distinct("_text").alias("_c"), F.first("_limit").alias("_most"))
+        .where(F.col("_c") > F.col("_most")).select("_pair"))
+    rest = join_counted(each.where(~F.col("_frequent")), common, ["_pair"], "left_anti")
+    counted = rest.groupBy(*key).agg(F.count(F.lit(1)).alias("_own"), F.first("_words").alias("_words"))
+    return counted.where(F.col("_own") >= limits.own_words * F.col("_words")).select(*key)
+
+
 def _verdicts(docs: DataFrame, removed: DataFrame, limits: Limits) -> DataFrame:
     stats = with_statistics(documents(docs)).select("*", F.xxhash64("text").alias("_text")).drop("text")
     joined = join_null_safe(stats, removed.select("doc_id", "_text", "removed_words"), ["doc_id", "_text"], "left")
