@@ -123,9 +123,50 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM stat
 """
 
+_FILTER_AUDIT = rf"""
+WITH label AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS repeats
+  FROM documents),
+judged AS (
+  SELECT d.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+    concat(
+      CASE WHEN len(w) < 50 THEN 'A' ELSE '' END,
+      CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END,
+      CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) THEN 'C' ELSE '' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+      CASE WHEN repeats THEN 'E' ELSE '' END) AS fails
+  FROM doc d LEFT JOIN label l ON l.doc_id = d.doc_id),
+cell AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, fails),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+sequence AS (
+  SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE length(translate('ABCDE', concat(a.x, b.x, c.x, d.x, e.x), '')) = 0),
+step AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS before FROM sequence, range(1, 6) AS s(step)),
+-- the letters of the order so far that a row fails
+placed AS (
+  SELECT c.*, s.*, contains(fails, x) AS hit, length(fails) - length(translate(fails, before, '')) AS earlier
+  FROM cell c, step s),
+share AS (
+  SELECT part, x, sum(n) AS shapley FROM placed WHERE hit AND earlier = 0 GROUP BY part, x)
+SELECT p.part, p.filter_order, CAST(p.step AS INTEGER) AS step,
+  CAST(sum(CASE WHEN NOT hit AND earlier = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+  CAST(sum(CASE WHEN hit AND earlier = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+  CAST(sum(CASE WHEN hit AND earlier > 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+  CAST(sum(CASE WHEN fails = p.x THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN hit AND earlier = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+  CAST(sum(CASE WHEN hit AND earlier = 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(any_value(h.shapley), 0) AS BIGINT) AS shapley
+FROM placed p LEFT JOIN share h ON h.part = p.part AND h.x = p.x
+GROUP BY p.part, p.filter_order, p.step
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": _CONTAMINATION,
     "op4_warc": _ARCHIVE,
     "op6_near_duplicates": _NEAR_DUPLICATES,
     "op8_quality_rules": _QUALITY,
+    "op12_filter_audit": _FILTER_AUDIT,
 }
