@@ -163,10 +163,40 @@ FROM placed p LEFT JOIN share h ON h.part = p.part AND h.x = p.x
 GROUP BY p.part, p.filter_order, p.step
 """
 
+_PHRASES = rf"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS x FROM documents),
+words AS (SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS w FROM piece),
+size AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+place AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 5) AS s(k) WHERE len(w) >= k),
+f AS (
+  SELECT lang, p, len(p) AS k, count(*) AS a
+  FROM (SELECT lang, list_slice(w, i, i + k - 1) AS p FROM place) GROUP BY lang, p HAVING count(*) >= 30),
+cut AS (
+  SELECT c.lang, c.p, c.a, s.k, x.a AS l, y.a AS r, (CAST(2000000 AS HUGEINT) * c.a) // (x.a + y.a) AS score
+  FROM f c JOIN range(1, 4) AS s(k) ON s.k < c.k
+  JOIN f x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, s.k)
+  JOIN f y ON y.lang = c.lang AND y.p = list_slice(c.p, s.k + 1, c.k)),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+start AS (SELECT lang, p, k, a, unnest(range(1, k + 1)) AS i FROM f WHERE k > 2),
+inner_phrase AS (
+  SELECT lang, list_slice(p, i, i + n - 1) AS p, max(a) AS longer
+  FROM start, range(2, 4) AS s(n) WHERE n < k AND i + n - 1 <= k GROUP BY ALL),
+kept AS (
+  SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM best b LEFT JOIN inner_phrase i ON i.lang = b.lang AND i.p = b.p
+  WHERE i.longer IS NULL OR CAST(100 AS HUGEINT) * i.longer < CAST(80 AS HUGEINT) * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, CAST(s.n AS BIGINT) AS n, CAST(r.score AS BIGINT) AS score
+FROM ranked r JOIN size s ON s.lang = r.lang WHERE r.rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": _CONTAMINATION,
     "op4_warc": _ARCHIVE,
     "op6_near_duplicates": _NEAR_DUPLICATES,
     "op8_quality_rules": _QUALITY,
     "op12_filter_audit": _FILTER_AUDIT,
+    "op13_phrases": _PHRASES,
 }

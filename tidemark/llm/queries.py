@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, filter_audit, langid, lm, mixing, neardup, pii, quality, secrets, warc
+from tidemark.llm import chat, decontaminate, filter_audit, langid, lm, mixing, neardup, phrases, pii, quality, secrets, warc
 from tidemark.llm.oracle import ORACLE_SQL
 
 
@@ -68,6 +68,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": op1_lm_scores,
     "op2_mixing": op2_mixing,
@@ -80,4 +84,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scans": op9_secret_scans,
     "op10_language_id": op10_language_id,
     "op12_filter_audit": op12_filter_audit,
+    "op13_phrases": op13_phrases,
 }
