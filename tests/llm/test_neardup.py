@@ -23,7 +23,8 @@ def brute(rows):
 
     def find(x):
         while parent[x] != x:
-            x = parent[x] = parent[parent[x]]
+            parent[x] = parent[parent[x]]
+            x = parent[x]
         return x
 
     bags, by = [shingles(t) for _, t in rows], defaultdict(list)

@@ -123,6 +123,28 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM stat
 """
 
+_JACCARD = rf"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + 3) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (
+  SELECT c.a, c.b FROM common c JOIN size x ON x.doc_id = c.a JOIN size y ON y.doc_id = c.b
+  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM doc
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN edge e ON r.other = e.a)
+SELECT r.doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+FROM reach r LEFT JOIN size s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
 _FILTER_AUDIT = rf"""
 WITH label AS (
   SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
@@ -197,6 +219,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_warc": _ARCHIVE,
     "op6_near_duplicates": _NEAR_DUPLICATES,
     "op8_quality_rules": _QUALITY,
+    "op11_jaccard_join": _JACCARD,
     "op12_filter_audit": _FILTER_AUDIT,
     "op13_phrases": _PHRASES,
 }

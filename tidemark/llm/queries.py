@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, filter_audit, langid, lm, mixing, neardup, phrases, pii, quality, secrets, warc
+from tidemark.llm import chat, decontaminate, filter_audit, jaccard, langid, lm, mixing, neardup, phrases, pii, quality, secrets, warc
 from tidemark.llm.oracle import ORACLE_SQL
 
 
@@ -64,6 +64,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scans": op9_secret_scans,
     "op10_language_id": op10_language_id,
+    "op11_jaccard_join": op11_jaccard_join,
     "op12_filter_audit": op12_filter_audit,
     "op13_phrases": op13_phrases,
 }
