@@ -48,7 +48,7 @@ class Settings:
     words: int = 4
     percent: int = 85
     sampled: int = 4
-    bucket: int = 2_000_000
+    bucket: int = 100_000
     at_once: int = 2_000_000
 
 
