@@ -28,6 +28,7 @@ FOLD_SEED = 12345
 CANARIES = 20
 SEARCH_TRIALS = 30
 EARLY_STOP = 200
+ROUNDS = 500
 
 # Ranges of the parameter search, for the parameters that Spark's trees have.
 SEARCH_SPACE = {
