@@ -4,16 +4,20 @@
     the words and their counts; the counts are summed by language, words under the minimum go,
     and the others get dense numbers, joined back to the chunks.  From here on all passes read
     arrays of numbers in which 0 ends a phrase; a number stands for a word of one language.
-2.  Pairs: neighbouring numbers are counted as 64-bit keys in every task and summed.  (All pairs of
-    frequent words would be the Apriori candidates here; only pairs that occur are counted.)
-3.  Three and four words: candidates are the phrases that occur, whose first and last words are both
-    frequent phrases (Apriori).  They go into double-array tries, which are broadcast; a task moves
-    the states of all text positions at once, level by level, keeps the positions that are still inside
-    the trie, and counts the accepting states by ``bincount``.  The counts of the tasks are summed.
+2.  Candidates are phrases of two to four words that may be frequent: their first words and their last
+    words are candidates themselves (Apriori), and the tasks found them often enough together.  For
+    that a task sends a key and a count no larger than the minimum; the sum of those reaches the
+    minimum where the sum of the counts does.
+3.  The candidates of one length go into a double-array trie, which is broadcast.  A task moves the states
+    of all text positions at once, level by level, keeps the positions that are still inside the trie,
+    and counts the accepting states by ``bincount``; the counts of the tasks are summed.  The
+    same pass proposes the phrases that are one word longer, if their last words are in a bitmap of
+    the candidates (an exact join follows).
 4.  Scores, containment and ranks are DataFrame operations on the frequent phrases.
 
 A trie holds at most about ``shard`` phrases.  More phrases are dealt by hash to several tries, which
-are broadcast one after the other, so neither the driver nor a task holds more than one.  Cuts,
+are broadcast one after the other, so neither the driver nor a task holds more than one; the
+bitmap has 8 MB at any size and only saves proposals.  Cuts,
 inclusion and scores are exact: products are decimals.
 
 Defined cases: a null text is empty and has no words; a null language is ``und``; repeated rows
@@ -22,6 +26,7 @@ count again; an empty table gives an empty result; equal scores are ordered by c
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,10 +52,10 @@ class Settings:
     first: int = 2000
     #: phrases in one trie, bytes of text in one chunk, words in one block of numbers
     shard: int = 500_000
-    chunk: int = 4_000_000
+    chunk: int = 2_000_000
     block: int = 20_000
     #: distinct keys that a task holds before it sends them
-    held: int = 2_000_000
+    held: int = 400_000
     salts: int = 32
 
 
@@ -142,39 +147,37 @@ class DoubleArray:
         return at, self.value[state]
 
 
-def _chunks(texts: list[bytes], most: int) -> Iterator[list[bytes]]:
-    held, size = [], 0
-    for text in texts:
-        if held and size + len(text) > most:
-            yield held
-            held, size = [], 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield held
-
-
 def _read(settings: Settings):
     plain = bytes.maketrans(ENDS, b"," * len(ENDS))
 
+    def encoded(number: int, lang: str, texts: list[bytes]) -> pa.RecordBatch:
+        known = {b",": 0}
+        # bytes are lowered in ASCII and split at white space, of which blank and tab are left
+        tokens = b" , ".join(texts).lower().translate(plain).replace(b",", b" , ").split()
+        codes = np.fromiter((known.setdefault(t, len(known)) for t in tokens), np.int32, len(tokens))
+        counts = np.bincount(codes, minlength=len(known))[1:]
+        words = [w.decode() for w in list(known)[1:]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number]), pa.array([lang]), pa.array([codes.tobytes()], pa.binary()), pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64()))],
+            ["chunk", "lang", "codes", "words", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number, held, sizes = TaskContext.get().partitionId() << 32, {}, Counter()
         for batch in batches:
-            by: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                by.setdefault(lang, []).append(text.encode())
-            for lang, texts in by.items():
-                for chunk in _chunks(texts, settings.chunk):
-                    known = {b",": 0}
-                    # bytes are lowered in ASCII and split at white space, of which blank and tab are left
-                    tokens = b" , ".join(chunk).lower().translate(plain).replace(b",", b" , ").split()
-                    codes = np.fromiter((known.setdefault(t, len(known)) for t in tokens), np.int32, len(tokens))
-                    counts = np.bincount(codes, minlength=len(known))[1:]
-                    words = [w.decode() for w in list(known)[1:]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([number]), pa.array([lang]), pa.array([codes.tobytes()], pa.binary()), pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64()))],
-                        ["chunk", "lang", "codes", "words", "counts"])
+            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+                data = text.as_py().encode()
+                key = lang.as_py()
+                held.setdefault(key, []).append(data)
+                sizes[key] += len(data) + 1
+                # the language itself, or with many languages the one with most text
+                if sizes[key] > settings.chunk or sizes.total() > 4 * settings.chunk:
+                    largest = sizes.most_common(1)[0][0]
+                    yield encoded(number, largest, held.pop(largest))
+                    del sizes[largest]
                     number += 1
+        for lang, texts in held.items():
+            yield encoded(number, lang, texts)
+            number += 1
     return run
 
 
@@ -209,81 +212,116 @@ def _arrays(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)), pa.array(rows.ravel().astype(np.int32)))
 
 
-def _pairs(settings: Settings):
-    def sent(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        rows = np.stack([keys >> 32, keys & 0xFFFFFFFF], axis=1)
-        return pa.RecordBatch.from_arrays([_arrays(rows), pa.array(counts)], ["p", "f"])
+class _Keys:
+    """Distinct keys of a task and how often they occur, no further than the minimum.
+
+    A sum of counts reaches the minimum if and only if the sum of counts cut off there does.
+    """
+
+    def __init__(self, settings: Settings) -> None:
+        self.settings = settings
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found, n = np.unique(keys, return_counts=True)
+        self.keys, where = np.unique(np.concatenate([self.keys, found]), return_inverse=True)
+        together = np.bincount(where, np.concatenate([self.counts, n]), len(self.keys)).astype(np.int64)
+        self.counts = np.minimum(together, self.settings.least)
+        if len(self.keys) > self.settings.held:
+            yield from self.sent()
+
+    def sent(self) -> Iterator[pa.RecordBatch]:
+        yield _sums(self.keys, self.counts)
+        self.keys, self.counts = self.keys[:0], self.counts[:0]
+
+
+def _sums(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts.astype(np.int64))], ["key", "c"])
 
+
+def _pairs(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held = _Keys(settings)
         for batch in batches:
             for value in batch.column("ids"):
                 ids = np.frombuffer(value.as_py(), np.int32).astype(np.int64)
-                both = (ids[:-1] > 0) & (ids[1:] > 0)
-                found, n = np.unique((ids[:-1] << 32 | ids[1:])[both], return_counts=True)
-                keys, where = np.unique(np.concatenate([keys, found]), return_inverse=True)
-                # bincount's weights are doubles, exact for counts of one task
-                counts = np.bincount(where, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-                if len(keys) > settings.held:
-                    yield sent(keys, counts)
-                    keys, counts = keys[:0], counts[:0]
-        if len(keys):
-            yield sent(keys, counts)
+                yield from held.add((ids[:-1] << 32 | ids[1:])[(ids[:-1] > 0) & (ids[1:] > 0)])
+        yield from held.sent()
     return run
 
 
-def _extended(trie, settings: Settings):
-    """Phrases that occur one word longer than those of the trie; every task sends each once."""
+_BITS = 26
+
+
+def _places(phrases: list[np.ndarray]) -> np.ndarray:
+    """A place in the bitmap for every phrase, given by its words' numbers."""
+    h = np.zeros(len(phrases[0]), np.uint64)
+    for ids in phrases:
+        h = (h + ids.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - _BITS)
+
+
+def _walked(trie, bitmap, settings: Settings):
+    """One pass over all positions: the phrases of the trie are counted (key: row, 0), and those one word
+    longer whose last words may be a candidate too are proposed (key: row, next word)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
+        array, bits = trie.value, bitmap.value
+        counts, held = np.zeros(len(array.rows), np.int64), _Keys(settings)
         for batch in batches:
             for value in batch.column("ids"):
-                ids = np.frombuffer(value.as_py(), np.int32)
-                at, row = trie.value.accepted(ids[:-1])
-                after = ids[at + trie.value.k].astype(np.int64)
-                seen = np.union1d(seen, (row.astype(np.int64) << 32 | after)[after > 0])
-                if len(seen) > settings.held:
-                    yield longer(seen)
-                    seen = seen[:0]
-        if len(seen):
-            yield longer(seen)
-
-    def longer(keys: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([_arrays(np.column_stack([trie.value.rows[keys >> 32], keys & 0xFFFFFFFF]))], ["p"])
+                ids = np.append(np.frombuffer(value.as_py(), np.int32), np.int32(0))
+                at, row = array.accepted(ids)
+                counts += np.bincount(row, minlength=len(counts))
+                if array.k < settings.words:
+                    more = ids[at + array.k] > 0
+                    at, row = at[more], row[more]
+                    place = _places([ids[at + j] for j in range(1, array.k + 1)])
+                    known = bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 > 0
+                    yield from held.add(row[known].astype(np.int64) << 32 | ids[at[known] + array.k])
+        found = np.flatnonzero(counts)
+        yield _sums(found << 32, counts[found])
+        yield from held.sent()
     return run
 
 
-def _counted(trie):
+def _spelled_out(trie):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(trie.value.rows), np.int64)
         for batch in batches:
-            for value in batch.column("ids"):
-                counts += np.bincount(trie.value.accepted(np.frombuffer(value.as_py(), np.int32))[1], minlength=len(counts))
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([_arrays(trie.value.rows[found]), pa.array(counts[found])], ["p", "f"])
+            keys = batch.column("key").to_numpy()
+            yield pa.RecordBatch.from_arrays([_arrays(trie.value.rows[keys >> 32]), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), batch.column("c")], ["p", "after", "c"])
     return run
 
 
-def _over_tries(phrases: DataFrame, largest: int, settings: Settings, step) -> list[DataFrame]:
-    """``step(trie)``, staged, for every shard of the staged phrases; one trie exists at a time."""
-    spark, out = phrases.sparkSession, []
-    shards = -(-phrases.count() // settings.shard)
-    dealt = phrases.select("p", F.pmod(F.xxhash64("p"), F.lit(max(1, shards))).alias("_s"))
+def _shards(phrases: DataFrame, k: int, settings: Settings) -> Iterator[np.ndarray]:
+    """The staged phrases of k words, at most about ``shard`` at a time."""
+    shards = max(1, -(-phrases.count() // settings.shard))
+    dealt = phrases.select("p", F.pmod(F.xxhash64("p"), F.lit(shards)).alias("_s"))
     for s in range(shards):
         rows = dealt.where(F.col("_s") == s).select("p").toArrow().column("p").combine_chunks()
-        if not len(rows):
-            continue
-        trie = spark.sparkContext.broadcast(DoubleArray(rows.flatten().to_numpy().reshape(len(rows), -1), largest))
-        out.append(stage(step(trie)))
+        if len(rows):
+            yield rows.flatten().to_numpy().reshape(len(rows), k)
+
+
+def _bitmap(phrases: DataFrame, k: int, settings: Settings) -> np.ndarray:
+    bits = np.zeros(1 << _BITS, bool)
+    for rows in _shards(phrases, k, settings):
+        bits[_places(list(rows.T))] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def _level(ids: DataFrame, phrases: DataFrame, k: int, largest: int, settings: Settings) -> DataFrame:
+    """Staged ``p, after, c``: counts of the phrases (``after`` = 0), and proposals that are frequent."""
+    context, out = ids.sparkSession.sparkContext, None
+    bitmap = context.broadcast(_bitmap(phrases, k, settings) if k < settings.words else None)
+    for rows in _shards(phrases, k, settings):
+        trie = context.broadcast(DoubleArray(rows, largest))
+        summed = ids.mapInArrow(_walked(trie, bitmap, settings), "key bigint, c bigint").groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= settings.least)
+        part = stage(summed.mapInArrow(_spelled_out(trie), "p array<int>, after int, c bigint"))
+        out = part if out is None else out.union(part)
         trie.destroy()
-    return out
-
-
-def _summed(counts: list[DataFrame], settings: Settings) -> DataFrame:
-    union = counts[0]
-    for more in counts[1:]:
-        union = union.union(more)
-    return stage(union.groupBy("p").agg(F.sum("f").alias("f")).where(F.col("f") >= settings.least))
+    bitmap.destroy()
+    return out if out is not None else phrases.select("p", F.lit(0).alias("after"), F.lit(0).cast("long").alias("c"))
 
 
 def frequent(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
@@ -300,20 +338,16 @@ def frequent(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFram
     mapped = entries.select("chunk", "lang", "at", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "id"))).alias("m"))
     full = read.select("chunk", "codes").join(mapped, "chunk", "left").select("codes", F.col("m.at").alias("at"), F.col("m.id").alias("id"))
     ids = stage(full.mapInArrow(_renumbered, "ids binary"))
-    levels = [_summed([ids.mapInArrow(_pairs(settings), "p array<int>, f bigint")], settings)]
-    for k in range(3, settings.words + 1):
-        shorter = levels[-1]
-        proposed = _over_tries(shorter, largest, settings, lambda trie: ids.mapInArrow(_extended(trie, settings), "p array<int>"))
-        if not proposed:
-            break
-        union = proposed[0]
-        for more in proposed[1:]:
-            union = union.union(more)
-        safe = union.distinct().withColumn("_rest", F.slice("p", 2, k - 1)).join(shorter.select(F.col("p").alias("_rest")), "_rest", "left_semi")
-        counts = _over_tries(stage(safe.select("p")), largest, settings, lambda trie: ids.mapInArrow(_counted(trie), "p array<int>, f bigint"))
-        if not counts:
-            break
-        levels.append(_summed(counts, settings))
+    pairs = ids.mapInArrow(_pairs(settings), "key bigint, c bigint").groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= settings.least)
+    word = lambda c: c.cast("int")
+    candidates = stage(pairs.select(F.array(word(F.shiftright("key", 32)), word(F.col("key").bitwiseAND(0xFFFFFFFF))).alias("p")))
+    levels = []
+    for k in range(2, settings.words + 1):
+        found = _level(ids, candidates, k, largest, settings)
+        levels.append(found.where("after = 0").select("p", F.col("c").alias("f")))
+        if k < settings.words:
+            longer = found.where("after > 0").select(F.concat("p", F.array("after")).alias("p"), F.concat(F.slice("p", 2, k - 1), F.array("after")).alias("_rest"))
+            candidates = stage(longer.join(candidates.select(F.col("p").alias("_rest")), "_rest", "left_semi").select("p"))
     return sizes, words, levels
 
 
