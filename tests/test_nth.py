@@ -1,0 +1,53 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import nth
+
+
+@pytest.fixture()
+def small_steps(monkeypatch):
+    """Little is fetched, so every step of the search is taken."""
+    monkeypatch.setattr(nth, "FEW", 3)
+    monkeypatch.setattr(nth, "CELLS", 4)
+
+
+def expected(rows, order, n):
+    def key(r):
+        out = []
+        for i, (_, descending) in enumerate(order):
+            v = r[i]
+            missing = v is None or (isinstance(v, float) and math.isnan(v))
+            out.append((missing, 0 if missing else v if not descending else -v))
+        return out
+    return sorted(rows, key=key)[:n]
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 60, 119, 120, 150, 199, 200])
+def test_nth_row_and_the_rows_before_it(spark, small_steps, n):
+    rng = random.Random(3)
+    values = [0.0, -0.0, 1.5, 1.5, 1e308, -1e308, float("inf"), float("-inf"), float("nan"), None, 1e-300, 0.1, 0.2]
+    rows = [(rng.choice(values), f"id-{rng.choice('abc')}{i:03d}", i) for i in range(200)]
+    df = spark.createDataFrame(rows, "score double, id string, number long").repartition(4)
+    order = [("score", True), ("id", False), ("number", False)]
+    last = nth.nth_row(df, order, n)
+    chosen = df.where(nth.up_to(df, order, last)).collect()
+    assert sorted(r["number"] for r in chosen) == sorted(r[2] for r in expected(rows, order, n))
+
+
+def test_large_keys_equal_rows_and_too_few(spark, small_steps):
+    df = spark.range(50).select((F.lit(2**62) + F.col("id") % 25).alias("k"))
+    last = nth.nth_row(df, [("k", False)], 20)
+    assert last == {"k": 2**62 + 9} and df.where(nth.up_to(df, [("k", False)], last)).count() == 20
+    assert nth.nth_row(df, [("k", False)], 51) is None and nth.nth_row(df, [("k", False)], 0) is None
+    same = spark.range(40).select(F.lit(1).alias("k"))
+    assert nth.nth_row(same, [("k", True)], 5) == {"k": 1}
+
+
+def test_no_row_is_exchanged(spark):
+    df = spark.range(1000).select((F.col("id") % 7).cast("double").alias("score"), "id")
+    order = [("score", True), ("id", False)]
+    plan = df.where(nth.up_to(df, order, nth.nth_row(df, order, 100)))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan

@@ -13,6 +13,7 @@ from ..functions import fixed_values as fixed
 from ..functions.scalars import clip
 from ..sources.staging import stage
 from ..spec import PanelSpec
+from .nth import nth_row, up_to
 from .ranking import rank_rows
 from .selection import align_features, filter_period
 
@@ -108,12 +109,14 @@ def top_n_flag(
 ) -> DataFrame:
     """1 for the first ``n`` rows by score (all rows when there are fewer), 0 for the rest.
 
-    Rows without a score, NULL or NaN, come last.  ``scores``: a table or staged frame.
+    Rows without a score, NULL or NaN, come last.  The n-th row is found by counting, then the flag is
+    a filter on the input: nothing is sorted or exchanged.  ``scores``: a table or staged frame.
     """
+    order = [(SCORE, True), *((k, False) for k in spec.key)]
     if n <= 0:
         return scores.select("*", F.lit(0).alias(name))
-    ranked = rank_scores(scores, spec, "_rank")
-    return ranked.select(*scores.columns, (F.col("_rank") <= n).cast("int").alias(name))
+    last = nth_row(scores, order, n)
+    return scores.select("*", (F.lit(1) if last is None else up_to(scores, order, last).cast("int")).alias(name))
 
 
 def simple_export(scores: DataFrame, spec: PanelSpec, flag: str = "contact") -> DataFrame:

@@ -121,3 +121,15 @@ def train_future_split(
         filter_periods(df, period, periods.train),
         filter_periods(df, period, periods.future),
     )
+
+
+def keys_in_both(df: DataFrame, key: str, period: str, first: int, second: int) -> DataFrame:
+    """Entities with a row in both periods (``INTERSECT``)."""
+    of = lambda p: df.filter(F.col(period) == p).select(key)
+    return of(first).intersect(of(second))
+
+
+def keys_only_in(df: DataFrame, key: str, period: str, first: int, second: int) -> DataFrame:
+    """Entities of the first period that have no row in the second (``EXCEPT``)."""
+    of = lambda p: df.filter(F.col(period) == p).select(key)
+    return of(first).subtract(of(second))

@@ -9,7 +9,7 @@ from .panels import (
     CUSTOMER_MONTH, EVENT_TYPES, GROUPS, GROUPS_NOT_SMOOTHED, MEASURES, SUPPLIER_MONTH,
     USER_MEASURES,
 )
-from .registry import FIRST_PERIOD, FUTURE_DAYS, SCORED_DAY, TOP_N
+from .registry import FIRST_PERIOD, FUTURE_DAYS, MODEL_FEATURES, SCORED_DAY, TOP_N
 
 _LONG_MEASURES = "count_f count_o sent_count bulk_count activity tenure"
 _MONEY_MEASURES = (
@@ -427,6 +427,29 @@ def _noise_columns() -> tuple[str, str, str]:
 _LAST_DAYS = f"(SELECT DISTINCT period FROM days ORDER BY period DESC LIMIT {FUTURE_DAYS})"
 
 
+_CARRIED_LAGS = ", ".join(f"lag({c}, {k}) OVER (PARTITION BY customer_id ORDER BY period) AS {c}_lag{k}" for c in ("activity", "tenure") for k in (1, 2))
+_CARRIED_DELTAS = ", ".join(f"{c} - {c}_lag{k} AS {c}_d{k}" for c in ("activity", "tenure") for k in (1, 2))
+
+
+def _rule_nodes() -> list[str]:
+    """The ensemble of the rule as nested conditions."""
+    seen = [f if f != "never_seen" else "0" for f in MODEL_FEATURES]
+    cuts = ", ".join(f"floor(avg({x})) + 0.5 AS cut{i}" for i, x in enumerate(seen))
+    trees = []
+    for i, x in enumerate(seen):
+        j = (i + 1) % len(seen)
+        trees.append(f"{i + 1} * CASE WHEN {x} <= cut{i} THEN -0.05 WHEN {seen[j]} <= cut{j} THEN 0.02 ELSE 0.1 END")
+    return [
+        f"cuts AS (SELECT {cuts} FROM days)",
+        f"raw_margin AS (SELECT user_id, period, CAST({' + '.join(trees)} AS DOUBLE) AS m FROM days, cuts)",
+        """scored_nodes AS (SELECT user_id, period, model, 1 / (1 + exp(1.0 - m * (model + 1))) AS score
+          FROM raw_margin, range(0, 2) AS r(model))""",
+    ]
+
+
+_RULE_NODES = _rule_nodes()
+
+
 def oracle_sql() -> dict[str, str]:
     cm_key, sm_key, ud_key = "customer_id period", "supplier_id period", "user_id period"
     labelled_cm = _with(CM, _monthly("labelled", "cm", "customer_id")) + comparable_sql(
@@ -561,6 +584,36 @@ def oracle_sql() -> dict[str, str]:
         + comparable_sql("good", f"{sm_key} {_LONG_MEASURES}", _MONEY_MEASURES),
         "distinct_months": _with(CM, "months AS (SELECT DISTINCT period FROM cm)")
         + comparable_sql("months", "period"),
+        "append_month_twice": _with(CM) + comparable_sql("cm", "customer_id period activity"),
+        "new_month_lags": _with(
+            CM,
+            f"lagged AS (SELECT *, {_CARRIED_LAGS} FROM cm)",
+            f"newest AS (SELECT *, {_CARRIED_DELTAS} FROM lagged WHERE period = (SELECT max(period) FROM cm))",
+        )
+        + comparable_sql("newest", "customer_id period activity tenure " + " ".join(f"{c}_{x}{k}" for c in ("activity", "tenure") for x in ("lag", "d") for k in (1, 2))),
+        "csv_round_trip": _with(
+            UD,
+            """daily AS (SELECT period, count(*) AS n, sum(events) AS events, sum(user_id) AS ids,
+              count(*) FILTER (WHERE user_id % 10 = 0) AS malformed FROM ud GROUP BY period)""",
+        )
+        + comparable_sql("daily", "period n events ids malformed"),
+        "bucketed_join": _with(CM, "summed AS (SELECT *, sum(activity) OVER (PARTITION BY customer_id ORDER BY period) AS activity_so_far FROM cm)")
+        + comparable_sql("summed", "customer_id period activity tenure activity_so_far"),
+        "customers_in_both_months": _with(
+            CM, "both_months AS (SELECT customer_id FROM cm WHERE period = 199701 INTERSECT SELECT customer_id FROM cm WHERE period = 199702)"
+        )
+        + comparable_sql("both_months", "customer_id"),
+        "customers_only_in_month": _with(
+            CM, "one_month AS (SELECT customer_id FROM cm WHERE period = 199701 EXCEPT SELECT customer_id FROM cm WHERE period = 199702)"
+        )
+        + comparable_sql("one_month", "customer_id"),
+        "sketch_quantiles": _with(
+            SM, LONG_FORM,
+            """wanted AS (SELECT col AS "column", unnest([0.1, 0.25, 0.5, 0.75, 0.9]) AS probability, n
+              FROM (SELECT col, count(v) AS n FROM vals GROUP BY col)), told AS (SELECT *, true AS within_bound FROM wanted)""",
+        )
+        + comparable_sql("told", "n", "probability", '"column" within_bound'),
+        "node_table_scores": _with(UD, DAYS, *_RULE_NODES) + comparable_sql("scored_nodes", "user_id period model", "score"),
         "append_snapshot_month": _with(
             CM,
             "latest AS (SELECT max(period) AS last FROM cm)",

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.periods import period_date, yyyymm_add
 from ..functions.scalars import logistic
-from ..operators import drift, evaluation, features, group_features, labels, sampling, scoring
-from ..operators import selection, training
+from ..operators import boosting, drift, evaluation, features, group_features, labels, sampling, scoring
+from ..operators import selection, sketches, training
 from ..operators.ranking import rank_rows
+from ..sources import monthly
 from ..sources.panels import append_snapshot, original_names, standard_names
-from ..sources.staging import stage
+from ..sources.staging import stage, staging_dir
 from . import panels, sql_steps
 from .compare import comparable
 from .panels import CUSTOMER_MONTH, MEASURES, SUPPLIER_MONTH, USER_DAY, USER_MEASURES
@@ -598,22 +601,137 @@ def train_seed_ensemble(spark, sf_dir):
     return _predictions(models, df, matrix, future)
 
 
+#: rounds without a gain after which the registered validation stops (the operator's own default is longer)
+_PATIENCE = 20
+
+
 @query
 def profit_cv(spark, sf_dir):
+    """All folds in the same passes, up to the fixed number of rounds, stopped by profit."""
     _, matrix, _ = _matrix(spark, sf_dir)
-    return training.profit_cv(matrix, USER_DAY, folds=3, parallelism=3, **_TREES)
+    curve = boosting.validated(matrix, USER_DAY, early_stop=_PATIENCE)
+    rows = [(r, m, d, r == curve.best) for r, m, d in zip(curve.rounds, curve.means, curve.deviations)]
+    return spark.createDataFrame(rows, "round int, mean_profit double, std_profit double, is_best boolean")
 
 
 @query
 def param_search(spark, sf_dir):
+    """All trials, folds and ranges; trials are halved from two rounds on."""
     _, matrix, _ = _matrix(spark, sf_dir)
-    space = {"stepSize": ("log", 0.05, 0.2), "minInstancesPerNode": ("int", 5, 50)}
-    return training.param_search(
-        matrix, USER_DAY, trials=2, folds=2, space=space, maxIter=3, maxDepth=2
-    )
+    return boosting.search(matrix, USER_DAY, first_rounds=2)
 
 
 @query
 def canary_importance_filter(spark, sf_dir):
-    _, matrix, _ = _matrix(spark, sf_dir, canaries=5)
+    _, matrix, _ = _matrix(spark, sf_dir, canaries=fixed.CANARIES)
     return training.canary_importance_filter(matrix, **_TREES)
+
+
+@query
+def canary_pruned_trees(spark, sf_dir):
+    """Trees over all noise columns that end where noise splits best: the future days, scored and ranked."""
+    df, matrix, future = _matrix(spark, sf_dir, canaries=fixed.CANARIES)
+    nodes = boosting.fit(matrix, 20, noise="canary_", maxDepth=5)
+    chosen = selection.filter_periods(df, "period", future)
+    scores = boosting.score_nodes(chosen, USER_DAY.key, nodes).drop("model")
+    return scoring.scored_table(stage(scores), USER_DAY)
+
+
+def _rule_nodes(spark, df):
+    """Two ensembles of six two-level trees whose thresholds follow from the averages of the panel."""
+    means = df.agg(*[F.avg(f).alias(f) for f in MODEL_FEATURES]).first()
+    cut = {f: math.floor(means[f] or 0.0) + 0.5 for f in MODEL_FEATURES}
+    rows = []
+    for model, scale in ((0, 1.0), (1, 2.0)):
+        rows.append((model, 0, 0, None, None, None, None, -1.0, None, None))
+        for t, f in enumerate(MODEL_FEATURES, 1):
+            after = MODEL_FEATURES[t % len(MODEL_FEATURES)]
+            leaf = lambda n, v: (model, t, n, None, None, None, None, v * t * scale, None, None)  # noqa: B023, E731
+            rows += [(model, t, 0, f, cut[f], 1, 2, 0.0, None, None), leaf(1, -0.05), (model, t, 2, after, cut[after], 3, 4, 0.0, None, None), leaf(3, 0.02), leaf(4, 0.1)]
+    return spark.createDataFrame(rows, boosting.NODE_SCHEMA)
+
+
+@query
+def node_table_scores(spark, sf_dir):
+    """An ensemble stored as a node table and evaluated level by level."""
+    df = stage(_labelled_days(spark, sf_dir).select(*USER_DAY.key, *(F.col(f) for f in MODEL_FEATURES if f != "never_seen")).withColumn("never_seen", F.lit(0)))
+    nodes = stage(_rule_nodes(spark, df))
+    return boosting.score_nodes(df, USER_DAY.key, nodes)
+
+
+# -- stored months, external files, sets ----------------------------------------------------
+
+
+@query
+def append_month_twice(spark, sf_dir):
+    """A month written again replaces itself: the stored history after two appends of the last month."""
+    panel = stage(panels.customer_month(spark, sf_dir).select("customer_id", "period", "activity"))
+    last = selection.distinct_periods(panel, "period")[-1]
+    path = f"{staging_dir(spark)}/monthly-{uuid.uuid4().hex}"
+    monthly.append_period(panel.filter(F.col("period") < last), path, "period")
+    for _ in range(2):
+        monthly.append_period(panel.filter(F.col("period") == last), path, "period")
+    return spark.read.parquet(path)
+
+
+@query
+def new_month_lags(spark, sf_dir):
+    """Lags and deltas of the last month from carried rows; the history is not read."""
+    columns = ["activity", "tenure"]
+    panel = stage(panels.customer_month(spark, sf_dir).select("customer_id", "period", *columns))
+    periods = selection.distinct_periods(panel, "period")
+    path = f"{staging_dir(spark)}/monthly-{uuid.uuid4().hex}"
+    earlier = monthly.carried_rows(panel.filter(F.col("period") < periods[-2]), CUSTOMER_MONTH, columns)
+    month = panel.filter(F.col("period") == periods[-2])
+    monthly.rolled_rows(earlier, month, CUSTOMER_MONTH, columns).write.parquet(f"{path}/state")
+    monthly.append_period(panel.filter(F.col("period") == periods[-1]), f"{path}/panel", "period")
+    return monthly.new_month_lags(spark, path, CUSTOMER_MONTH, columns, periods[-1])
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """The panel written as gzip CSV and read with a schema, beside a file with malformed lines."""
+    panel = stage(panels.user_day(spark, sf_dir).select("user_id", "period", "events"))
+    path = f"{staging_dir(spark)}/csv-{uuid.uuid4().hex}"
+    monthly.write_csv_gzip(panel, path)
+    bad = panel.where("user_id % 10 = 0").select(F.lit("no number").alias("user_id"), "period", "events")
+    bad.write.mode("append").option("header", True).csv(path)
+    good, wrong = monthly.read_csv_checked(spark, path, "user_id BIGINT, period BIGINT, events BIGINT")
+    lines = wrong.groupBy(F.element_at(F.split("line", ","), 2).cast("long").alias("period")).agg(F.count(F.lit(1)).alias("malformed"))
+    by_day = good.groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.sum("events").alias("events"), F.sum("user_id").alias("ids"))
+    return by_day.join(lines, "period", "left").fillna(0, ["malformed"])
+
+
+@query
+def bucketed_join(spark, sf_dir):
+    """Two stages stored in buckets of the customer, joined and windowed without an exchange."""
+    panel = panels.customer_month(spark, sf_dir).select("customer_id", "period", "activity", "tenure")
+    name = f"tidemark_{uuid.uuid4().hex}"
+    monthly.use_stored_partitioning(spark)
+    left = monthly.write_bucketed(panel.select("customer_id", "period", "activity"), f"{name}_a", "customer_id", "period", 8)
+    right = monthly.write_bucketed(panel.select("customer_id", "period", "tenure"), f"{name}_b", "customer_id", "period", 8)
+    joined = left.join(right, ["customer_id", "period"])
+    so_far = Window.partitionBy("customer_id").orderBy("period")
+    return joined.select("*", F.sum("activity").over(so_far).alias("activity_so_far"))
+
+
+@query
+def customers_in_both_months(spark, sf_dir):
+    panel = panels.customer_month(spark, sf_dir)
+    return selection.keys_in_both(panel, "customer_id", "period", 199701, 199702)
+
+
+@query
+def customers_only_in_month(spark, sf_dir):
+    panel = panels.customer_month(spark, sf_dir)
+    return selection.keys_only_in(panel, "customer_id", "period", 199701, 199702)
+
+
+@query
+def sketch_quantiles(spark, sf_dir):
+    """Quantiles of merged month sketches: the values they cover, and whether the ranks keep the bound."""
+    panel = _report_panel(spark, sf_dir)
+    stored = stage(sketches.month_sketches(panel, "period", MEASURES))
+    found = stage(sketches.sketch_quantiles(stored, [0.1, 0.25, 0.5, 0.75, 0.9]))
+    errors = sketches.rank_errors(panel, found)
+    return found.join(errors, ["column", "probability"]).select("column", "probability", "n", (F.col("error") <= sketches.RANK_ERROR).alias("within_bound"))
