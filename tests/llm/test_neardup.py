@@ -94,3 +94,22 @@ def test_chain(spark):
 
 def test_a_table(spark, sf_dir):
     compare(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def test_links_sent_grow_with_the_group(spark):
+    """Copies of one text with three words of 150 changed, more of them than a block holds: no pairs are sent."""
+    settings, sent = neardup.Settings(block=32), []
+    for n in (50, 100, 200):
+        rng = random.Random(9)
+        base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        texts = [" ".join(base)]
+        for i in range(n):
+            w = list(base)
+            for k in rng.sample(range(150), 3 + i % 3):
+                w[k] = f"e{rng.randrange(10**6)}"
+            texts.append(" ".join(w))
+        docs = documents(spark, texts).repartition(3)
+        got = sorted((tuple(r) for r in neardup.near_duplicates(docs, settings).collect()), key=repr)
+        assert got == brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+        sent.append(len({c for _, c in got}))
+    assert sent == sorted(sent)

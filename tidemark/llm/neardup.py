@@ -13,10 +13,10 @@ all are filled.  Two documents agree in a coordinate with probability equal to t
 3.  Every member of a bucket is compared, on its shingles, with the bucket's most popular member
     (the one that shares most bands with others, the likely original): linear in the bucket.
 4.  Links of ``threshold`` or more give components, by label propagation with pointer jumping.
-5.  Buckets that still hold two components are compared pair by pair between components, in
-    blocks of bounded size, by signature first and on the shingles after; a pair is taken in the
-    first band that it shares.  So no link is lost to step 3, and copies of one original, which step
-    3 joins, are never expanded into pairs.
+5.  Buckets that still hold two components are compared between components, in blocks of bounded
+    size, by signature first and at once on the shingles, which the members bring along; a pair is taken
+    in the first band that it shares.  A block joins components as it finds links and sends only those
+    that join two, fewer than it has members.  So no link is lost to step 3, and no pairs are sent.
 
 With 24 bands of 4 a pair of similarity 0.8 misses every bucket with probability 3e-6; a pair is
 passed over in step 5 for its signature with probability 2e-4, at 0.8 exactly.
@@ -211,8 +211,16 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _celled(settings: Settings):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [cells(t.as_py(), settings.words).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "cells"])
+    return run
+
+
 def _blocks(settings: Settings):
-    """Compares the members of sorted (bucket, i, j) groups between components."""
+    """Compares the members of sorted (bucket, i, j) groups between components: links that join two."""
     least = settings.coordinates * settings.threshold - settings.deviations * np.sqrt(settings.coordinates * settings.threshold * (1 - settings.threshold))
 
     def pairs(group: pd.DataFrame) -> Iterator[tuple[bytes, bytes]]:
@@ -223,6 +231,7 @@ def _blocks(settings: Settings):
         sig = np.frombuffer(b"".join(group["sig"]), np.uint8).reshape(len(group), -1)
         at = int(np.flatnonzero(marks[0] == group["bucket"].iloc[0])[0])
         nodes = group["node"].to_list()
+        units = [np.frombuffer(c, np.uint64) for c in group["cells"]]
         for p in range(len(group) - 1):
             rest = np.arange(p + 1, len(group))
             rest = rest[(label[rest] != label[p]) & ((mine[rest] != mine[p]) if i != j else True)]
@@ -230,7 +239,9 @@ def _blocks(settings: Settings):
                 rest = rest[~(marks[rest, :at] == marks[p, :at]).any(axis=1)]
                 rest = rest[(sig[rest] == sig[p]).sum(axis=1) >= least]
             for q in rest:
-                yield nodes[p], nodes[q]
+                if label[q] != label[p] and similarity(units[p], units[q]) >= settings.threshold:
+                    label[label == label[q]] = label[p]
+                    yield nodes[p], nodes[q]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -263,12 +274,15 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame
     mixed = labelled.groupBy("bucket").agg((F.min("label") != F.max("label")).alias("_mixed")).where("_mixed").select("bucket")
     # what is left meets in blocks: every member with its own block and with each of the others
     parts = F.ceil(F.col("n") / settings.block).cast("int")
-    own = labelled.join(mixed, "bucket").join(nodes.select("node", "bands", "sig"), "node").select("*", parts.alias("_p"), F.pmod(F.xxhash64("node"), parts).cast("int").alias("own"))
+    met = stage(labelled.join(mixed, "bucket"))
+    wanted = stage(met.select("node").distinct())
+    texts = join_counted(_texts(docs).select("node", "text"), wanted, ["node"], "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    brought = texts.mapInArrow(_celled(settings), "node binary, cells binary").join(nodes.select("node", "bands", "sig"), "node")
+    own = met.join(brought, "node").select("*", parts.alias("_p"), F.pmod(F.xxhash64("node"), parts).cast("int").alias("own"))
     spread = own.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_p") - 1)))
-    spread = spread.select("bucket", F.least("own", "_o").alias("i"), F.greatest("own", "_o").alias("j"), "own", "node", "label", "bands", "sig")
+    spread = spread.select("bucket", F.least("own", "_o").alias("i"), F.greatest("own", "_o").alias("j"), "own", "node", "label", "bands", "sig", "cells")
     dealt = spread.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    more = stage(dealt.mapInPandas(_blocks(settings), "a binary, b binary"))
-    late = linked(more, docs, settings)
+    late = stage(dealt.mapInPandas(_blocks(settings), "a binary, b binary"))
     # links between components, as links between labels
     named = lambda side: F.coalesce(f"_{side}", side).alias(side)
     of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"_{side}"))
