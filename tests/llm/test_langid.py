@@ -16,6 +16,14 @@ def test_odd_texts(spark):
     assert langid.language_id(empty(spark)).count() == 0
 
 
+def test_numbers_are_no_letters(spark):
+    texts = ["plain words here", "noch ein paar Worte", "½ ② Ⅷ ① ³ 12", "½ a", "__ -- 7"]
+    docs = documents(spark, texts * 4)
+    for r in langid.language_id(docs).collect():
+        if r.doc_id is not None:
+            assert ((r.lang_pred, r.score) == ("und", 0.0)) == (r.doc_id % 5 in (2, 4))
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None), (2, "def", None)], "doc_id long, text string, lang string")
     assert {(r.lang_pred, r.score) for r in langid.language_id(docs).collect()} == {("und", 0.0)}

@@ -33,6 +33,7 @@ from tidemark.llm.common import ship_by_value, stage
 ship_by_value(__name__)
 
 UNKNOWN = "und"
+#: letters, and numbers such as fractions and Roman numerals, which are told apart afterwards
 _LETTER = re.compile(r"[^\W\d_]")
 #: letters of the first code points, by code point; all from here on count as letters but blanks
 _ASCII = np.array([chr(c).isalpha() for c in range(128)])
@@ -186,7 +187,7 @@ def _predictor(model: Model | None):
             langs, scores = [], []
             for value in batch.column("text"):
                 text = value.as_py()
-                if model is None or not text or not _LETTER.search(text):
+                if model is None or not text or not any(m[0].isalpha() for m in _LETTER.finditer(text)):
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     continue
