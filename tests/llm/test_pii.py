@@ -51,10 +51,11 @@ def test_added_kinds_need_checksum_or_context(spark):
     texts = [
         "pay DE89 3704 0044 0532 0130 00 now", "pay DE88 3704 0044 0532 0130 00 now", "GB82WEST12345698765432",
         "ssn 123-45-6789", "part 123-45-6789", "call (555) 123-4567", "see (555) 123-4567", "call +1 (555) 123-4567",
+        "my bank account DE88 3704 0044 0532 0130 00",
     ]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [r.spans for r in pii.digest(pii.personal_data(rows)).orderBy("doc_id").collect()]
-    assert got == ["iban:4:31", "", "iban:0:22", "national:4:15", "", "local:5:19", "", "phone:5:22"]
+    assert got == ["iban:4:31", "", "iban:0:22", "national:4:15", "", "local:5:19", "", "phone:5:22", ""]
 
 
 def test_empty_table_and_no_python(spark):

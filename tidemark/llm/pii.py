@@ -86,9 +86,11 @@ def personal_data(docs: DataFrame, window: int = 40, threshold: float = 0.5) ->
             return F.lit(_FIRST[kind]) + F.when(confirmed(x), 0.4).otherwise(0.0) + F.when(near.rlike(_WORDS[kind]), 0.3).otherwise(0.0)
         return of
 
-    confirmed = {"iban": lambda x: mod97(x["v"]), "national": lambda x: F.lit(False), "local": lambda x: F.lit(False)}
+    # an account number that fails its checksum is none, whatever stands beside it
+    proposed = {"iban": lambda x: mod97(x["v"])}
+    confirmed = {"iban": lambda x: F.lit(True), "national": lambda x: F.lit(False), "local": lambda x: F.lit(False)}
     base = F.concat(*[labelled(F.filter(k, valid[k]), k, i, 1.0) for i, k in enumerate(BASE_KINDS)])
-    added = F.concat(*[labelled(F.col(k), k, len(BASE_KINDS) + i, score(k, confirmed[k])) for i, k in enumerate(ADDED_KINDS)])
+    added = F.concat(*[labelled(F.filter(k, proposed[k]) if k in proposed else F.col(k), k, len(BASE_KINDS) + i, score(k, confirmed[k])) for i, k in enumerate(ADDED_KINDS)])
     both = found.select("doc_id", F.array_sort(base).alias("base"), F.filter(added, lambda x: x["score"] >= threshold).alias("more"))
     apart = F.filter("more", lambda a: ~F.exists("base", lambda b: (a["s"] < b["e"]) & (b["s"] < a["e"])))
     return both.select("doc_id", "base", F.array_sort(F.concat("base", apart)).alias("spans"))
