@@ -82,6 +82,16 @@ class DoubleArray:
         self.value = np.full(len(self.base), -1, np.int32)
         self.value[state] = order
 
+    def parts(self) -> tuple:
+        """Arrays and numbers alone, which a task can load without this module."""
+        return self.rows, self.k, self.radix, self.base, self.check, self.value
+
+    @classmethod
+    def of(cls, parts: tuple) -> DoubleArray:
+        trie = cls.__new__(cls)
+        trie.rows, trie.k, trie.radix, trie.base, trie.check, trie.value = parts
+        return trie
+
     def _room(self, more: int) -> None:
         """Room for so many more states, at a load of two fifths, and a whole row after the last."""
         size = max(4096, int(2.5 * ((self.check >= 0).sum() + more))) + self.radix + 1
@@ -266,7 +276,7 @@ def _walked(trie, bitmap, settings: Settings):
     """One pass over all positions: the phrases of the trie are counted (key: row, 0), and those one word
     longer whose last words may be a candidate too are proposed (key: row, next word)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        array, bits = trie.value, bitmap.value
+        array, bits = DoubleArray.of(trie.value), bitmap.value
         counts, held = np.zeros(len(array.rows), np.int64), _Keys(settings)
         for batch in batches:
             for value in batch.column("ids"):
@@ -289,7 +299,7 @@ def _spelled_out(trie):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            yield pa.RecordBatch.from_arrays([_arrays(trie.value.rows[keys >> 32]), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), batch.column("c")], ["p", "after", "c"])
+            yield pa.RecordBatch.from_arrays([_arrays(trie.value[0][keys >> 32]), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), batch.column("c")], ["p", "after", "c"])
     return run
 
 
@@ -315,7 +325,7 @@ def _level(ids: DataFrame, phrases: DataFrame, k: int, largest: int, settings: S
     context, out = ids.sparkSession.sparkContext, None
     bitmap = context.broadcast(_bitmap(phrases, k, settings) if k < settings.words else None)
     for rows in _shards(phrases, k, settings):
-        trie = context.broadcast(DoubleArray(rows, largest))
+        trie = context.broadcast(DoubleArray(rows, largest).parts())
         summed = ids.mapInArrow(_walked(trie, bitmap, settings), "key bigint, c bigint").groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= settings.least)
         part = stage(summed.mapInArrow(_spelled_out(trie), "p array<int>, after int, c bigint"))
         out = part if out is None else out.union(part)
