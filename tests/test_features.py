@@ -176,10 +176,28 @@ def test_ema_of_long_history(spark):
     df = spark.range(n).select(
         F.lit(1).alias("id"), F.col("id").cast("int").alias("period"), F.lit(2.5).alias("x")
     )
-    out = df.select(group_features.ema("x", 0.6, SPEC).alias("e")).agg(F.min("e"), F.max("e")).first()
+    averaged = group_features.with_ema(df, SPEC, ["x"], [0.6]).withColumnRenamed("x_ema_alpha0p6", "e")
+    out = averaged.agg(F.min("e"), F.max("e")).first()
     assert out[0] == pytest.approx(2.5) and out[1] == pytest.approx(2.5)
 
 
+def test_ema_over_segments_equals_the_recursion(spark):
+    """Several segments, gaps at the start, at a border and in the middle, and a second entity."""
+    n, alphas = 2000, (0.3, 0.6, 1.0)
+    rows = [(i, t, None if t < 3 or t % 7 == 2 or 140 < t < 160 else math.sin(t) * 10 ** (t % 5) + i) for i in (1, 2) for t in range(n if i == 1 else 5)]
+    df = spark.createDataFrame(rows, "id long, period int, x double")
+    got = {(r["id"], r["period"]): r for r in group_features.with_ema(df, SPEC, ["x"], alphas).collect()}
+    assert group_features._segment_rows(alphas) < n / 10
+    for alpha in alphas:
+        top, bottom = {1: 0.0, 2: 0.0}, {1: 0.0, 2: 0.0}
+        for i, t, x in rows:
+            top[i] = top[i] * (1 - alpha) + (0.0 if x is None else x)
+            bottom[i] = bottom[i] * (1 - alpha) + (x is not None)
+            expected = top[i] / bottom[i] if bottom[i] else None
+            value = got[i, t][group_features.ema_name("x", alpha)]
+            assert value is None if expected is None else value == pytest.approx(expected, rel=1e-9, abs=1e-9)
+
+
 def test_lag_candidates_and_late_filter(spark):
     df = spark.createDataFrame(
         [(1, p, "CONTINUA", float(i), 2.0 * i) for i, p in enumerate((201905, 201906, 201907, 201908))],

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from .quantiles import MARGIN, exact_percentiles
+from .quantiles import MARGIN, exact_percentiles, long_values, per_column, with_edges_below
 from .selection import distinct_periods
 
 
@@ -31,18 +31,15 @@ def psi_cuts(
     return {c: sorted(set(q)) if q else [] for c, q in quantiles.items()}
 
 
-def _bin_number(column: str, cuts: Sequence[float]) -> str:
-    """SQL text of the bin of a value.
+def _bin() -> Column:
+    """The bin of a value, of whose column's cuts ``_below`` are at or below it.
 
     1, 2, … are half-open bins between the cuts, the last one closed; 0 is a value outside
     the cuts (or any value, when there are fewer than two cuts), -1 is NULL or NaN.
     """
-    x = f"CAST(`{column}` AS DOUBLE)"
-    missing = f"CASE WHEN `{column}` IS NULL OR isnan({x}) THEN -1"
-    if len(cuts) < 2:
-        return f"{missing} ELSE 0 END"
-    bins = " ".join(f"WHEN {x} < {c!r}D THEN {i}" for i, c in enumerate(cuts[:-1]))
-    return f"{missing} {bins} WHEN {x} <= {cuts[-1]!r}D THEN {len(cuts) - 1} ELSE 0 END"
+    below, n = F.col("_below"), F.size("cuts")
+    inside = F.when(F.col("value") == F.element_at("cuts", -1), n - 1).when(below < n, below).otherwise(0)
+    return F.when(F.col("value").isNull() | F.isnan("value"), -1).when(n < 2, 0).otherwise(inside)
 
 
 def psi_by_column_period(
@@ -56,60 +53,63 @@ def psi_by_column_period(
 ) -> DataFrame:
     """PSI of every column and period against the baseline periods.
 
-    One counting pass: every row is turned into bin numbers, (period, column, bin) is
-    counted with map-side combining, and the rest works on a table of columns x periods
-    rows.  PSI is 0 for a column with fewer than two cuts, NULL when a side has no value
-    or when no value of the period lies within the baseline's range.
+    One counting pass: the values are listed by column, find their bin among the column's cuts by
+    binary search, and (period, column, bin) is counted with map-side combining; the rest works on
+    one array of counters a period and column.  Cuts are rows, not text of the plan.  PSI is 0 for
+    a column with fewer than two cuts, NULL when a side has no value or when no value of the
+    period lies within the baseline's range.
     """
     columns = list(columns)
     baseline = baseline_periods(df, period) if baseline is None else list(baseline)
     in_baseline = F.col(period).isin(baseline)
     cuts = psi_cuts(df.filter(in_baseline), columns, buckets, margin)
 
-    numbers = ", ".join(_bin_number(c, cuts[c]) for c in columns)
+    spark = df.sparkSession
+    table = per_column(
+        spark, [(i, c, [float(x) for x in cuts[c]]) for i, c in enumerate(columns)], "name string, cuts array<double>"
+    )
+    most = max([len(cuts[c]) for c in columns], default=0)
+    listed = with_edges_below(long_values(df, columns, period).join(table, "column"), "cuts", most, "_below")
     counts = (
-        df.select(period, F.expr(f"posexplode(array({numbers})) AS (_pos, _bin)"))
-        .groupBy(period, "_pos", "_bin")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        listed.groupBy(period, "column", _bin().alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    bins = range(1, buckets + 1)
-    in_bin = "sum(CASE WHEN _bin = {0} THEN _n ELSE 0 END) AS _a{0}"
-    wide = counts.groupBy(period, "_pos").agg(
-        F.expr("sum(CASE WHEN _bin >= 0 THEN _n ELSE 0 END) AS _valid"),
-        *[F.expr(in_bin.format(b)) for b in bins],
+    # a counter of every bin, -1 and 0 first; one short array a period and column
+    entries = F.map_from_entries(F.collect_list(F.struct("bin", "n")))
+    by_bin = counts.groupBy(period, "column").agg(entries.alias("_m")).join(table, "column")
+    counters = by_bin.select(
+        period, "column", F.col("name"), (F.size("cuts") - 1).alias("bins"),
+        F.transform(
+            F.sequence(F.lit(-1), F.greatest(F.size("cuts") - 1, F.lit(0))),
+            lambda b: F.coalesce(F.element_at("_m", b), F.lit(0)),
+        ).alias("actual"),
     )
-    expected = "sum(CASE WHEN _base THEN _a{0} ELSE 0 END) OVER (PARTITION BY _pos) AS _e{0}"
-    per_column = ", ".join(f"'{c}'" for c in columns)
-    bins_of = ", ".join(str(len(cuts[c]) - 1) for c in columns)
-    wide = wide.select("*", in_baseline.alias("_base")).selectExpr(
-        f"`{period}`",
-        f"element_at(array({per_column}), _pos + 1) AS column",
-        f"element_at(array({bins_of}), _pos + 1) AS _bins",
-        "_valid",
-        *[f"_a{b}" for b in bins],
-        *[expected.format(b) for b in bins],
+    base = counters.filter(in_baseline).select("column", F.posexplode("actual").alias("at", "n"))
+    expected = base.groupBy("column", "at").agg(F.sum("n").alias("n")).groupBy("column").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("at", "n"))), lambda x: x["n"]).alias("expected")
     )
-    wide = wide.selectExpr(
-        "*",
-        " + ".join(f"_a{b}" for b in bins) + " AS _actual",
-        " + ".join(f"_e{b}" for b in bins) + " AS _expected",
+    both = counters.join(expected, "column", "left").select(
+        period, "name", "bins",
+        F.aggregate(F.slice("actual", F.lit(2), F.size("actual") - 1), F.lit(0).cast("long"), lambda a, n: a + n).alias("valid"),
+        F.slice("actual", F.lit(3), F.greatest("bins", F.lit(0))).alias("a"),
+        F.slice("expected", F.lit(3), F.greatest("bins", F.lit(0))).alias("e"),
     )
+    total = lambda name: F.aggregate(name, F.lit(0).cast("long"), lambda a, n: a + n)
+    both = both.select("*", total("a").alias("in_a"), total("e").alias("in_e"))
 
-    def share(n: str, total: str) -> str:
-        return f"greatest(least({n} / {total}, 1.0D), {epsilon!r}D)"
-
-    def term(b: int) -> str:
-        e, a = share(f"_e{b}", "_expected"), share(f"_a{b}", "_actual")
-        return f"CASE WHEN _bins >= {b} THEN ({e} - {a}) * ln({e} / {a}) ELSE 0.0D END"
+    def share(n: Column, of: str) -> Column:
+        return F.greatest(F.least(n / F.col(of), F.lit(1.0)), F.lit(float(epsilon)))
 
-    value = " + ".join(term(b) for b in bins)
-    return wide.selectExpr(
-        f"`{period}`",
-        "column",
-        f"""CASE WHEN _valid = 0 OR _bins < 0 THEN NULL
-                 WHEN _bins = 0 THEN 0.0D
-                 WHEN _actual > 0 AND _expected > 0 THEN {value} END AS psi""",
+    terms = F.zip_with(
+        "e", "a", lambda e, a: (share(e, "in_e") - share(a, "in_a")) * F.ln(share(e, "in_e") / share(a, "in_a"))
+    )
+    value = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+    psi = (
+        F.when((F.col("valid") == 0) | (F.col("bins") < 0), F.lit(None).cast("double"))
+        .when(F.col("bins") == 0, F.lit(0.0))
+        .when((F.col("in_a") > 0) & (F.col("in_e") > 0), value)
     )
+    return both.select(period, F.col("name").alias("column"), psi.alias("psi"))
 
 
 def _by_period(
@@ -155,24 +155,25 @@ def outlier_rate_by_column_period(
     """Share of the rows of a period outside the bounds, per column.
 
     NULL and NaN are not outliers but count as rows; a period without any value of a column
-    has no rate.  One aggregate over the panel with the bounds as literals.
+    has no rate.  One counting pass over the values listed by column; bounds are rows, not text of the plan.
     """
     columns = list(columns)
     bounds = iqr_bounds(df, columns, margin=margin)
 
-    def rate(c: str) -> str:
-        if bounds[c] is None:
-            return f"CAST(NULL AS DOUBLE) AS `{c}`"
-        low, high = bounds[c]
-        x = f"CAST(`{c}` AS DOUBLE)"
-        hit = f"({x} < {low!r}D OR {x} > {high!r}D) AND NOT isnan({x})"
-        return (
-            f"CASE WHEN count_if(NOT isnan({x}) AND `{c}` IS NOT NULL) > 0"
-            f" THEN avg(CASE WHEN {hit} THEN 1.0D ELSE 0.0D END) END AS `{c}`"
-        )
-
-    wide = df.groupBy(period).agg(*[F.expr(rate(c)) for c in columns])
-    return wide.unpivot([period], columns, "column", "outlier_rate")
+    table = per_column(
+        df.sparkSession, [(i, c, *(bounds[c] or (None, None))) for i, c in enumerate(columns)],
+        "name string, low double, high double",
+    )
+    known = F.col("value").isNotNull() & ~F.isnan("value")
+    hit = known & ((F.col("value") < F.col("low")) | (F.col("value") > F.col("high")))
+    counted = (
+        long_values(df, columns, period)
+        .join(table, "column")
+        .groupBy(period, "name")
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_if(known).alias("known"), F.count_if(hit).alias("hits"))
+    )
+    rate = F.when(F.col("known") > 0, F.col("hits") / F.col("rows"))
+    return counted.select(period, F.col("name").alias("column"), rate.alias("outlier_rate"))
 
 
 def outlier_by_period(rates: DataFrame, period: str, n_columns: int) -> DataFrame:

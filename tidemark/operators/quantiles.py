@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
@@ -24,14 +24,32 @@ from .ranking import cut_points, rank_rows
 MARGIN = 0.002
 
 
-def _valid(c: str) -> str:
-    return f"`{c}` IS NOT NULL AND NOT isnan(`{c}`)"
+def long_values(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
+    """One row per row and column: the kept columns, ``column`` (its position) and ``value``; NULL is a row too."""
+    listed = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in columns)
+    return df.select(*keep, F.expr(f"posexplode(array({listed})) AS (column, value)"))
 
 
-def _bucket(c: str, edges: Sequence[float]) -> str:
-    """SQL text of the bucket number of a valid value."""
-    cases = " ".join(f"WHEN `{c}` < {e!r}D THEN {i}" for i, e in enumerate(edges))
-    return f"CASE {cases} ELSE {len(edges)} END" if edges else "0"
+def per_column(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A table with a few numbers for every column, to join with :func:`long_values`.
+
+    Its size follows from columns x edges, never from the data, so it may be broadcast.
+    """
+    return F.broadcast(spark.createDataFrame(rows, f"column int, {schema}"))
+
+
+def with_edges_below(df: DataFrame, edges: str, most: int, name: str) -> DataFrame:
+    """Add how many of the row's sorted edges, ``most`` at most, are at or below ``value``.
+
+    A binary search, one projection a step: the plan grows with the digits of ``most`` only.
+    """
+    df = df.withColumn(name, F.lit(0))
+    step = 1 << most.bit_length() >> 1
+    while step:
+        right = F.get(F.col(edges), F.col(name) + (step - 1)) <= F.col("value")
+        df = df.withColumn(name, F.col(name) + F.when(right, step).otherwise(0))
+        step //= 2
+    return df
 
 
 def _located(histogram: DataFrame, probs: Sequence[float]) -> list:
@@ -79,42 +97,31 @@ def exact_percentiles(
     numbers reach the driver.
     """
     columns, probs = list(columns), [float(p) for p in probs]
+    spark = df.sparkSession
     df = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns])
     grid = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
     quantiles = cut_points(df, columns, grid, margin / 2, int(4 / margin**2))
-    buckets = [_bucket(c, sorted(set(q))) for c, q in zip(columns, quantiles)]
-
-    numbers = ", ".join(
-        f"CASE WHEN {_valid(c)} THEN {b} END" for c, b in zip(columns, buckets)
-    )
-    histogram = (
-        df.selectExpr(f"posexplode(array({numbers})) AS (column, bucket)")
-        .filter("bucket IS NOT NULL")
-        .groupBy("column", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    sorted_edges = [sorted(map(float, set(q))) for q in quantiles]
+    edges = per_column(spark, list(enumerate(sorted_edges)), "edges array<double>")
+    valid = long_values(df, columns).filter("value IS NOT NULL AND NOT isnan(value)")
+    found = with_edges_below(valid.join(edges, "column"), "edges", max(map(len, sorted_edges)), "bucket")
+    placed = found.select("column", "value", "bucket")
+    histogram = placed.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n"))
     located = _located(histogram, probs)
-    wanted: dict[int, set[int]] = {}
-    for row in located:
-        wanted.setdefault(row["column"], set()).add(row["bucket"])
+    wanted = sorted({(r["column"], r["bucket"]) for r in located})
     if not wanted:
         return {c: None for c in columns}
-
-    picked = ", ".join(
-        f"CASE WHEN {_valid(columns[i])} AND {buckets[i]} IN ({', '.join(map(str, sorted(chosen)))})"
-        f" THEN struct({i} AS column, {buckets[i]} AS bucket, `{columns[i]}` AS value) END"
-        for i, chosen in sorted(wanted.items())
-    )
     counted = (
-        df.selectExpr(f"inline(array_compact(array({picked})))")
+        placed.join(per_column(spark, wanted, "bucket int"), ["column", "bucket"])
         .groupBy("column", "bucket", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     with staged(counted) as table:
-        found = _values_at(_running(table), located)
-    values = {(r["column"], r["prob"]): r["value"] for r in found}
+        picked = _values_at(_running(table), located)
+    values = {(r["column"], r["prob"]): r["value"] for r in picked}
     return {
-        c: [values[i, p] for p in probs] if i in wanted else None for i, c in enumerate(columns)
+        c: [values[i, p] for p in probs] if (i, probs[0]) in values else None
+        for i, c in enumerate(columns)
     }
 
 

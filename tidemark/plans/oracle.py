@@ -7,7 +7,7 @@ from . import sql_steps
 from .compare import comparable_sql, rounded_sql
 from .panels import (
     CUSTOMER_MONTH, EVENT_TYPES, GROUPS, GROUPS_NOT_SMOOTHED, MEASURES, SUPPLIER_MONTH,
-    USER_MEASURES,
+    USER_MEASURES, WIDE_STEPS,
 )
 from .registry import FIRST_PERIOD, FUTURE_DAYS, MODEL_FEATURES, SCORED_DAY, TOP_N
 
@@ -217,11 +217,11 @@ _SMOOTHED = [g for g in GROUPS if g not in GROUPS_NOT_SMOOTHED]
 _HIST = "PARTITION BY supplier_id ORDER BY period"
 
 
-def _lags(columns: list[str]) -> list[str]:
+def _lags(columns: list[str], steps: tuple[int, ...] = (1, 2)) -> list[str]:
     return [
         e
         for c in columns
-        for k in (1, 2)
+        for k in steps
         for e in (
             f"lag({c}, {k}) OVER hist AS {c}_lag{k}",
             f"{c} - lag({c}, {k}) OVER hist AS {c}_d{k}",
@@ -272,9 +272,15 @@ def _of_kind(names: str, part: str) -> str:
 
 _GRID = ", ".join(f"CAST({i * (1.0 / fixed.PSI_BUCKETS)!r} AS DOUBLE)" for i in range(fixed.PSI_BUCKETS))
 _GRID += ", CAST(1.0 AS DOUBLE)"
-LONG_FORM = "vals AS (\n" + "\n  UNION ALL\n".join(
-    f"  SELECT period, '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM sm" for c in MEASURES
-) + "\n)"
+
+
+def _long_form(columns: list[str], source: str) -> str:
+    each = [f"  SELECT period, '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM {source}" for c in columns]
+    return "vals AS (\n" + "\n  UNION ALL\n".join(each) + "\n)"
+
+
+LONG_FORM = _long_form(MEASURES, "sm")
+_WIDE = [f"{c}_{s}{k}" for c in MEASURES for s in ("lag", "d") for k in WIDE_STEPS]
 _EPS = fixed.PSI_EPSILON
 PSI = f"""base AS (
   SELECT DISTINCT period FROM sm ORDER BY period DESC LIMIT {fixed.BASELINE_PERIODS}
@@ -564,6 +570,10 @@ def oracle_sql() -> dict[str, str]:
         )
         + comparable_sql("limits", doubles="low high", others='"column"'),
         "psi_by_column_month": _with(SM, LONG_FORM, PSI) + comparable_sql("psi", "period", "psi", '"column"'),
+        "psi_of_wide_panel": _with(
+            SM, _generated(_lags(MEASURES, WIDE_STEPS), "sm"), _long_form([*MEASURES, *_WIDE], "made"), PSI
+        )
+        + comparable_sql("psi", "period", "psi", '"column"'),
         "drift_by_month": _with(*drift_all)
         + comparable_sql(
             "drift", "period columns_over_low columns_over_high", "avg_psi max_psi",

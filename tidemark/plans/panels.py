@@ -13,6 +13,9 @@ MEASURES = [
     "sent_amount", "received_amount", "sent_count", "bulk_count", "activity", "tenure",
 ]
 
+#: lags and deltas of the wide report
+WIDE_STEPS = (1, 2, 3, 4, 5)
+
 MONEY = [
     "spend_f", "spend_o", "limit_f", "limit_o", "balance_f", "balance_o", "sent_amount",
     "received_amount",

@@ -285,6 +285,15 @@ def psi_by_column_month(spark, sf_dir):
     return _psi(_report_panel(spark, sf_dir))
 
 
+@query
+def psi_of_wide_panel(spark, sf_dir):
+    """PSI of 154 columns: the measures, their lags and deltas."""
+    panel = panels.supplier_month(spark, sf_dir).select(*SUPPLIER_MONTH.key, *MEASURES)
+    wide = group_features.lags_and_deltas(panel, SUPPLIER_MONTH, MEASURES, panels.WIDE_STEPS)
+    columns = [c for c in wide.columns if c not in SUPPLIER_MONTH.key]
+    return drift.psi_by_column_period(stage(wide), "period", columns)
+
+
 @query
 def drift_by_month(spark, sf_dir):
     report = drift.drift_by_period(_psi(_report_panel(spark, sf_dir)), "period", len(MEASURES))
