@@ -24,6 +24,20 @@ def test_permutation_and_draws():
     assert (total == quota).all()
 
 
+def test_draws_are_hypergeometric_at_every_size():
+    """Means and spreads on both sides of 500 million, the size from which draws were once rounded."""
+    for scale in (1, 1_000, 10**7, 10**11):
+        colours = np.array([50, 30, 0, 20]) * scale
+        total, drawn = int(colours.sum()), 40 * scale
+        draws = np.array([mixing._half(colours, drawn, (7, i)) for i in range(400)], float)
+        assert (draws.sum(axis=1) == drawn).all() and (draws <= colours).all() and (draws >= 0).all()
+        share = colours / total
+        spread = np.sqrt(drawn * share * (1 - share) * (total - drawn) / (total - 1))
+        assert (np.abs(draws.mean(axis=0) - drawn * share) <= 5 * spread / 20 + 1e-9).all()
+        assert (np.abs(draws.std(axis=0) - spread) <= 0.2 * spread + 1e-9).all()
+    assert (mixing._half(np.array([3, 5]), 8, (1,)) == [3, 5]).all() and (mixing._half(np.array([3, 5]), 0, (1,)) == 0).all()
+
+
 def test_a_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = mixing.taken(docs).collect()

@@ -30,12 +30,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, ship_by_value, stage, word_count
+from tidemark.llm.common import documents, join_null_safe, ship_by_value, stage, word_count
 
 ship_by_value(__name__)
 
 #: rows of a slice whose running sums one task computes, about
 SLICE_ROWS = 4_000
+#: so many are drawn one by one at the end of a draw
+_ONE_BY_ONE = 32
 
 
 @dataclass(frozen=True)
@@ -85,15 +87,24 @@ def permuted(k: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def _half(colours: np.ndarray, drawn: int, seed: tuple[int, ...]) -> np.ndarray:
-    """How many of each colour are among ``drawn`` of them."""
-    total = int(colours.sum())
-    if total < 500_000_000:
-        return np.random.default_rng(seed).multivariate_hypergeometric(colours, drawn, method="marginals")
-    exact = colours * (drawn / total)  # so many that chance shows in the halves below only
-    out = np.floor(exact).astype(np.int64)
-    rest = np.argsort(out - exact, kind="stable")
-    out[rest[: drawn - int(out.sum())]] += 1
-    return out
+    """How many of each colour are among ``drawn`` of them, exactly, for any number of them.
+
+    Every one falls into the draw with the wanted share as its chance.  Of a surplus as many go
+    out again, of those left a lack is filled, both in the same way; each time about the square
+    root is left to put right, and the last few are drawn one by one.
+    """
+    rng = np.random.default_rng(seed)
+    taken, pool, sign = np.zeros_like(colours), colours.copy(), 1
+    while drawn > _ONE_BY_ONE:
+        hit = rng.binomial(pool, drawn / pool.sum())
+        taken += sign * hit
+        over = int(hit.sum()) - drawn
+        pool, drawn, sign = (hit, over, -sign) if over > 0 else (pool - hit, -over, sign)
+    for _ in range(drawn):
+        one = int(np.searchsorted(np.cumsum(pool), rng.integers(pool.sum()), side="right"))
+        pool[one] -= 1
+        taken[one] += sign
+    return taken
 
 
 def shard_counts(quota: np.ndarray, shard: int, slots: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -177,8 +188,9 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame, list
 
 def with_text(mix_rows: DataFrame, docs: DataFrame) -> DataFrame:
     """Adds ``words``, the words of the document that the block holds."""
-    texts = documents(docs).select(F.xxhash64("doc_id", "text").alias("_h"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)).alias("_w")).dropDuplicates(["_h"])
-    return mix_rows.join(texts, "_h").select(*mix_rows.columns, F.slice("_w", (F.col("from_word") + 1).cast("int"), F.col("n_words").cast("int")).alias("words"))
+    key = ["doc_id", "_h"]
+    texts = documents(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("_h"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)).alias("_w")).dropDuplicates(key)
+    return join_null_safe(mix_rows, texts, key).select(*mix_rows.columns, F.slice("_w", (F.col("from_word") + 1).cast("int"), F.col("n_words").cast("int")).alias("words"))
 
 
 def taken(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
