@@ -1,3 +1,6 @@
+import math
+from collections import defaultdict
+
 import numpy as np
 
 from tests.llm.helpers import ODD_TEXTS, crc, documents, empty
@@ -36,6 +39,52 @@ def test_held_out_accuracy(spark, sf_dir):
     assert len(rows) > 250 and np.mean([r.lang_pred == langs[r.doc_id] for r in rows]) > 0.98
 
 
+def test_the_sample_is_bounded_however_often_a_text_repeats(spark):
+    settings = langid.Settings(per_language=200)
+    texts = ["one text in most rows"] * 5000 + [f"text number {i}" for i in range(3000)] + ["few"] * 7
+    rows = spark.createDataFrame([(t, "en" if i < 8000 else "de") for i, t in enumerate(texts)], "text string, lang string")
+    rows = rows.selectExpr("text", "lang", "shiftrightunsigned(xxhash64(text), 1) AS h")
+    chosen, names = langid.sample(rows, settings)
+    got = chosen.collect()
+    assert names == ["de", "en"] and len(got) == len({(r.lang, r.text) for r in got})
+    assert 120 < sum(r.lang == "en" for r in got) < 280 and [r.text for r in got if r.lang == "de"] == ["few"]
+    assert langid.sample(rows.limit(0), settings)[1] == []
+
+
+def test_weights_and_features_equal_plain_loops():
+    """Follow-the-regularised-leader and TF-IDF written coordinate by coordinate."""
+    settings = langid.Settings(bits=6, epochs=2, l1=0.05)
+    rng = np.random.default_rng(1)
+    idf = 1.0 + rng.random(64)
+    texts = ["der Hund", "the dog", "le chien", "Das ist gut", "this is good", "c'est bon"]
+    rows = []
+    for i, text in enumerate(texts):
+        columns, n = langid.counts(text, settings)
+        plain = {int(c): (1 + math.log(k)) * idf[c] for c, k in zip(columns, n)}
+        length = math.sqrt(sum(v * v for v in plain.values()))
+        got = langid.weighted(text, idf, settings)
+        assert list(got[0]) == sorted(plain) and np.allclose(got[1], [plain[c] / length for c in sorted(plain)], atol=1e-12)
+        rows.append((*got, i % 3))
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(c, k):
+        if abs(z[c, k]) <= settings.l1:
+            return 0.0
+        return -(z[c, k] - math.copysign(settings.l1, z[c, k])) / ((settings.beta + math.sqrt(n[c, k])) / settings.alpha + settings.l2)
+
+    for _ in range(settings.epochs):
+        for columns, values, label in rows:
+            w = {(c, k): weight(c, k) for c in columns for k in range(3)}
+            e = [math.exp(sum(v * w[c, k] for c, v in zip(columns, values))) for k in range(3)]
+            for c, v in zip(columns, values):
+                for k in range(3):
+                    g = v * (e[k] / sum(e) - (k == label))
+                    z[c, k] += g - (math.sqrt(n[c, k] + g * g) - math.sqrt(n[c, k])) / settings.alpha * w[c, k]
+                    n[c, k] += g * g
+    fitted = langid.fit(rows, 3, settings)
+    assert all(abs(fitted[c, k] - weight(c, k)) < 1e-9 for c in range(64) for k in range(3)) and (fitted != 0).any()
+
+
 def test_temperature_flattens_overconfident_scores():
     rng = np.random.default_rng(0)
     labels = rng.integers(0, 2, 2000)

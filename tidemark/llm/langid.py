@@ -4,7 +4,7 @@ Features are the 1- to ``longest``-grams of the lower-cased text, everything tha
 one blank, hashed to ``2 ** bits`` columns; 1 + log of the count, times the inverse document
 frequency, scaled to length 1.  Document frequencies are counted over all training documents.
 The classifier is fitted by follow-the-regularised-leader with L1 and L2 penalties, in one task, on a
-sample bounded by ``per_language`` training documents of every language, chosen by hash.  A
+sample of distinct texts, ``per_language`` of every language at most but for chance, chosen by hash.  A
 fifth of the sample is kept from the fit and sets the temperature that calibrates the scores.
 
 Every document is predicted from its whole text in Arrow batches; the model, ``2 ** bits``
@@ -166,17 +166,26 @@ class Model:
     settings: Settings
 
 
+def sample(rows: DataFrame, settings: Settings) -> tuple[DataFrame, list[str]]:
+    """Distinct texts by language, about ``per_language`` of each at most, staged, and the languages.
+
+    ``rows`` holds ``text, lang, h``.  The share of a language follows from its distinct texts, and
+    a text that any number of rows repeat is one row of the sample.
+    """
+    totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count_distinct("h").alias("n")).collect()}
+    share = [F.when(F.col("lang") == x, min(2**63 - 1, int(settings.per_language / n * 2**63))) for x, n in sorted(totals.items())]
+    chosen = rows.where(F.col("h") <= F.coalesce(*share)) if share else rows.limit(0)
+    return stage(chosen.dropDuplicates(["lang", "text"])), sorted(totals)
+
+
 def train(docs: DataFrame, settings: Settings = Settings()) -> Model | None:
     """Learns from text and lang of rows with a lang; None if there are none."""
-    rows = docs.where(F.col("lang").isNotNull()).select(F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"), F.abs(F.xxhash64("text") % 1_000_003).alias("h"))
-    totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not totals:
+    rows = docs.where(F.col("lang").isNotNull()).select(F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    chosen, names = sample(rows, settings)
+    if not names:
         return None
     idf = inverse_frequencies(rows.select("text"), settings)
-    # the share of every language that keeps the sample under the bound, by hash of the text
-    share = [F.when(F.col("lang") == x, min(1.0, settings.per_language / n) * 1_000_003) for x, n in sorted(totals.items())]
-    chosen = stage(rows.where(F.col("h") < F.coalesce(*share)))
-    names = sorted(totals)
     row = chosen.coalesce(1).mapInPandas(_fitter(names, idf, settings), "weights binary, temperature double").collect()[0]
     return Model(names, idf, np.frombuffer(row["weights"], np.float32).reshape(-1, len(names)).astype(np.float64), row["temperature"], settings)
 
