@@ -44,6 +44,13 @@ def test_hot_payload_and_shards(spark, tmp_path, monkeypatch):
     assert manifests[0] == manifests[1]  # the same bytes however the rows were dealt
     assert len(manifests[0]) > 8 and sum(m[2] for m in manifests[0]) == 400
     assert not list(tmp_path.glob("*/_temporary*"))
+    # shards follow the page ids and are near their size
+    by_shard = {}
+    for r in warc.read_archive(spark, f"{tmp_path}/a").collect():
+        by_shard.setdefault(int(r.file.split("-")[1]), []).append(int(r.page_id))
+    ranges = [(min(x), max(x)) for _, x in sorted(by_shard.items())]
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:])) and len(ranges) >= 8
+    assert max(map(len, by_shard.values())) <= 150
     back = warc.read_archive(spark, f"{tmp_path}/a").collect()
     assert len({r.page_id for r in back}) == 400 and sum(r.record_type == "response" for r in back) == 400 - 133
 
@@ -59,3 +66,11 @@ def test_a_changed_byte_is_found(spark, tmp_path):
     assert block.endswith(b"payload") and headers["WARC-Payload-Digest"] == f"sha1:{warc.payload_digest(b'payload')}"
     with pytest.raises(ValueError):
         list(warc.read_file(io.BytesIO(gzip.compress(data)[:-20])))
+
+
+def test_folders_with_and_without_a_scheme(spark, tmp_path):
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    for name in (f"{tmp_path}/plain", f"file:{tmp_path}/one", f"file://{tmp_path}/three"):
+        assert warc.write_archive(pages, name).agg({"records": "sum"}).first()[0] == len(ROWS)
+        assert warc.read_archive(spark, name).count() == len(ROWS)
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["one", "plain", "three"]

@@ -1,17 +1,17 @@
 """WARC archives: a deterministic sharded writer and its reader.
 
-Records are dealt to shards by ranges of their page id.  The bounds are quantiles of a sample
-taken by hash, so they depend on the rows alone; the row count decides how many there are.  A
+Records are dealt to shards by ranges of their page id, in two levels.  The bounds are quantiles of
+samples taken by hash, so they depend on the rows alone; row counts decide how many there are.  A
 shard is sorted and written as gzip members, one a record; a file is closed once its compressed
 bytes reach ``roll_bytes``.  Headers and digests are made anew from the payload.  Of equal
 payloads of ``revisit_bytes`` or more, the smallest page id is written in full (``response``) and
 the rest refer to it (``revisit``).
 
-A task writes under a temporary name with the attempt in it, renames the finished file and
-returns its line of the manifest: file, records, bytes, SHA-256.  The manifest, written last,
+A task writes under a temporary name with the attempt in it (in a folder that is removed before the
+manifest is written), renames the finished file and returns its line of the manifest: file, records, bytes, SHA-256.  The manifest, written last,
 lists what counts.  Contents depend on the rows alone, so a task that runs again, on another
 executor too, replaces a file by the same bytes.  Files go through ``pyarrow.fs``, so the folder
-may be any store that it opens.
+may be any store that it opens; a folder without a scheme is on Spark's default file system.
 
 Defined cases: a null html is the empty payload; null page ids sort first in the archive, but
 last when a response is chosen; rows with the same page id and payload: one is the response and
@@ -24,6 +24,7 @@ import base64
 import hashlib
 import io
 import json
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import join_counted, ship_by_value, stage, staging_dir
+from tidemark.llm.common import BROADCAST_ROWS, join_counted, ship_by_value, stage, staging_dir
 
 ship_by_value(__name__)
 
@@ -44,6 +45,8 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
+_TEMPORARY = "_temporary"
+
 #: rows of a shard, about; sampled rows per shard that choose the bounds
 SHARD_ROWS = 4_000
 _SAMPLED = 64
@@ -83,8 +86,17 @@ def _gzip_member(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
+def resolved(spark: SparkSession, folder: str) -> str:
+    """The folder with scheme and authority, as Spark itself resolves it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _open(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    """The store and path of a resolved folder."""
+    if folder.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
 
 
 class _Roll:
@@ -98,7 +110,7 @@ class _Roll:
     def add(self, member: bytes) -> None:
         if self.out is None:
             self.name = f"part-{self.shard:06d}-{self.number:04d}.warc.gz"
-            self.temporary = f"{self.path}/_temporary-{self.attempt}-{self.name}"
+            self.temporary = f"{self.path}/{_TEMPORARY}/{self.attempt}-{self.name}"
             self.out = self.store.open_output_stream(self.temporary, compression=None)
             self.records, self.size, self.hash = 0, 0, hashlib.sha256()
         self.out.write(member)
@@ -141,28 +153,53 @@ def _writer(folder: str, roll_bytes: int):
     return write
 
 
-def _bounds(pages: DataFrame, rows: int) -> list:
-    """Page ids that split the rows into shards of about :data:`SHARD_ROWS`, from a sample by hash."""
-    shards = -(-rows // SHARD_ROWS)
-    if shards < 2:
-        return []
-    every = max(1, rows // (shards * _SAMPLED))
-    sample = pages.where(F.col("page_id").isNotNull() & (F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0)).select("page_id").distinct().toPandas()["page_id"]
-    picked = sorted(sample)
-    return sorted({picked[len(picked) * k // shards] for k in range(1, shards)}) if picked else []
+def _sampled(ids: DataFrame, every: int) -> DataFrame:
+    return ids.where(F.pmod(F.xxhash64("page_id"), F.lit(max(1, every))) == 0).distinct()
+
 
+def _quantiles(ids: Column, count: int | Column) -> Column:
+    """``count - 1`` of the sorted ids, at even distances, without equal ones."""
+    at = F.sequence(F.lit(1), F.greatest(F.lit(count) - 1, F.lit(1)))
+    picked = F.array_distinct(F.transform(at, lambda k: F.get(ids, F.floor(F.size(ids) * k / F.lit(count)).cast("int"))))
+    return F.when(F.lit(count) > 1, picked).otherwise(F.slice(ids, 1, 0))
 
-def _at_or_below(value: Column, bounds: list) -> Column:
-    """How many of the sorted bounds are at or below the value, by binary search."""
-    listed = F.lit(bounds)
-    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+
+def with_shards(pages: DataFrame, dealt: DataFrame) -> tuple[DataFrame, int]:
+    """Adds ``shard``, increasing with the page id, and the number of shards.
+
+    Ranges of two levels, so that the driver holds the square root of the number of shards: coarse
+    bounds from a sample by hash, then, in a table, the bounds of every coarse range from a sample
+    of its own and its row count.  Nulls are in the first shard.
+    """
+    ids = pages.where(F.col("page_id").isNotNull()).select("page_id")
+    rows = ids.count()
+    wide = max(1, math.isqrt(-(-rows // SHARD_ROWS)))
+    found = sorted(r["page_id"] for r in _sampled(ids, rows // (wide * _SAMPLED)).collect()) if wide > 1 else []
+    coarse = sorted({found[len(found) * k // wide] for k in range(1, wide)}) if found else []
+    range_of = lambda df: df.withColumn("_coarse", _at_or_below(F.col("page_id"), F.lit(coarse), len(coarse)) if coarse else F.lit(0))
+    counted = range_of(ids).groupBy("_coarse").agg(F.count(F.lit(1)).alias("_n"))
+    sample = range_of(_sampled(ids, SHARD_ROWS // _SAMPLED)).groupBy("_coarse").agg(F.sort_array(F.collect_list("page_id")).alias("_ids"))
+    parts = F.ceil(F.col("_n") / SHARD_ROWS).cast("int")
+    fine = stage(counted.join(sample, "_coarse").select("_coarse", _quantiles(F.col("_ids"), parts).alias("_bounds")))
+    most = fine.agg(F.max(F.size("_bounds"))).first()[0] or 0
+    # a range a row: as many as coarse bounds, each with the ids of its shards
+    joined = range_of(dealt).join(F.broadcast(fine) if len(coarse) <= BROADCAST_ROWS and rows <= BROADCAST_ROWS * SHARD_ROWS else fine, "_coarse", "left")
+    at = _at_or_below(F.col("page_id"), F.coalesce("_bounds", F.array_repeat(F.col("page_id"), 0)), most)
+    shard = F.col("_coarse") * (most + 1) + at
+    numbered = joined.withColumn("shard", F.coalesce(F.when(F.col("page_id").isNotNull(), shard), F.lit(0)).cast("int"))
+    return numbered.drop("_coarse", "_bounds"), (len(coarse) + 1) * (most + 1)
+
+
+def _at_or_below(value: Column, bounds: Column, most: int) -> Column:
+    """How many of the sorted bounds, ``most`` at most, are at or below the value, by binary search."""
+    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
 
     def halve(acc: Column, _: Column) -> Column:
         middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
-        right = (acc["low"] < acc["high"]) & (F.get(listed, middle) <= value)
+        right = (acc["low"] < acc["high"]) & (F.get(bounds, middle) <= value)
         return F.struct(F.when(right, middle + 1).otherwise(acc["low"]).alias("low"), F.when(right, acc["high"]).otherwise(middle).alias("high"))
 
-    steps = F.lit(list(range(len(bounds).bit_length() + 1)))
+    steps = F.lit(list(range(most.bit_length() + 1)))
     return F.aggregate(steps, start, halve)["low"]
 
 
@@ -183,16 +220,15 @@ def with_revisits(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
 def write_archive(pages: DataFrame, folder: str, revisit_bytes: int = 0, roll_bytes: int = 16 << 20) -> DataFrame:
     """Writes the archive and returns its manifest, which is also written to ``folder/manifest``."""
     spark = pages.sparkSession
+    folder = resolved(spark, folder)
     store, path = _open(folder)
-    store.create_dir(path, recursive=True)
-    rows = pages.count()
-    bounds = _bounds(pages, rows)
-    # the shard is the number of bounds at or below the id; nulls are in the first
-    shard = _at_or_below(F.col("page_id"), bounds) if bounds else F.lit(0)
-    dealt = with_revisits(pages, revisit_bytes).withColumn("shard", F.coalesce(F.when(F.col("page_id").isNotNull(), shard), F.lit(0)).cast("int"))
-    ordered = dealt.repartitionByRange(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
+    store.create_dir(f"{path}/{_TEMPORARY}", recursive=True)
+    dealt, shards = with_shards(pages, with_revisits(pages, revisit_bytes))
+    ordered = dealt.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
     text = ordered.select("shard", F.col("page_id").cast("string").alias("page_id"), "url", "payload", "grouped", F.col("first").cast("string").alias("first"))
     lines = stage(text.mapInPandas(_writer(folder, roll_bytes), _MANIFEST))
+    # what attempts that were lost have left behind
+    store.delete_dir(f"{path}/{_TEMPORARY}")
     lines.write.mode("overwrite").parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
@@ -257,6 +293,7 @@ _RECORD_NAMES = [x.split()[0] for x in _RECORD.split(", ")]
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record of the files in the manifest, digests verified; ids as strings."""
+    folder = resolved(spark, folder)
     files = spark.read.parquet(f"{folder}/manifest").select("file")
     return files.repartition(max(1, files.count()), "file").mapInPandas(_reader(folder), _RECORD)
 
