@@ -1,7 +1,9 @@
+import duckdb
 import pytest
 
 from tests.llm.helpers import ODD_TEXTS, documents, empty, words
 from tidemark.llm import quality
+from tidemark.llm.oracle import quality_sql
 
 
 def brute(text):
@@ -91,3 +93,38 @@ def test_copies_edited_in_many_lines_stay(spark):
     edited = lambda i: [" ".join([*ws[:6], f"e{i}", *ws[7:]] if (k + i) % 10 < 3 else ws) for k, ws in enumerate(copy)]
     docs = spark.createDataFrame([(i, "\n".join(edited(i)), "h") for i in range(60)], "doc_id long, text string, source string")
     assert all(r.kept and r.removed_words == 0 for r in quality.quality_verdicts(docs).collect())
+
+
+def same_as_sql(docs):
+    """The verdicts, found equal to those of the registered SQL."""
+    got = quality.quality_verdicts(docs)
+    connection = duckdb.connect()
+    connection.register("documents", docs.toPandas())
+    cursor = connection.execute(quality_sql())
+    names = [d[0] for d in cursor.description]
+    rows = got.collect()
+    assert sorted(repr([r[c] for c in names]) for r in rows) == sorted(map(repr, map(list, cursor.fetchall())))
+    return {r.doc_id: r for r in rows}
+
+
+def test_sql_of_all_rules(spark, hosts):
+    assert sum(r.removed_words for r in same_as_sql(hosts).values()) > 1000
+    lines = [" ".join(f"nav{k}y{j}" for j in range(15)) for k in range(12)]
+    pages = [(i, "\n".join([*lines, " ".join(f"w{i}x{j}" for j in range(32 + i))]), "h" if i % 3 else None) for i in range(90)]
+    assert sum(r.removed_words for r in same_as_sql(spark.createDataFrame(pages, "doc_id long, text string, source string")).values()) > 1000
+
+
+@pytest.mark.parametrize("size", [100, 2500])
+def test_the_limit_is_the_same_in_hosts_of_every_size(spark, size):
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    rows = [(i, own(i) + ("\nread more of this" if i < 45 else "\nseen in twenty" if i < 65 else ""), "h") for i in range(size)]
+    got = quality.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id: r.removed_words for r in got if r.removed_words} == {i: 4 for i in range(45)}
+
+
+def test_numbers_in_lines(spark):
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    tail = lambda i: f"\nPage {i + 1} of 90, 2024-01-{i:02}\n{i} {i + 1} {i + 2}\nv{i} stays"
+    got = same_as_sql(spark.createDataFrame([(i, own(i) + tail(i), "h") for i in range(90)], "doc_id long, text string, source string"))
+    # numbers alone and numbers inside words tell lines apart
+    assert all(r.removed_words == 5 for r in got.values())

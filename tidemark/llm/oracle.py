@@ -82,24 +82,35 @@ reach(doc_id, other) AS (
 SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id
 """
 
-_QUALITY = rf"""
+def quality_sql(host: str = "source", line_texts: int = 20) -> str:
+    return rf"""
 WITH doc AS (
-  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
+  SELECT doc_id, CASE WHEN {host} IS NULL THEN '' ELSE concat('=', {host}) END AS host, coalesce(text, '') AS t,
     regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+raw AS (
+  SELECT doc_id, host, t, len(w) AS n_words, unnest(ls) AS y
+  FROM (SELECT *, string_split(regexp_replace(lower(t), '\x20{{2,}}|[\x09\x0B-\x0D]+', ' ', 'g'), chr(10)) AS ls FROM doc)),
 line AS (
-  SELECT doc_id, host, t, len(w) AS n_words, x, len(regexp_extract_all(x, '{_WORD}')) AS n
-  FROM (SELECT *, trim(unnest(string_split(regexp_replace(lower(t), '\x20{{2,}}|[\x09\x0B-\x0D]+', ' ', 'g'), chr(10))), ' ') AS x FROM doc)
+  SELECT doc_id, host, t, n_words, x, regexp_extract_all(x, '{_WORD}') AS ws, len(regexp_extract_all(x, '{_WORD}')) AS n
+  FROM (SELECT *, trim(CASE WHEN regexp_matches(y, '\p{{L}}') THEN regexp_replace(y, '\b[0-9]+\b', '0', 'g') ELSE y END, ' ') AS x FROM raw)
   WHERE x <> ''),
-host_size AS (SELECT host, count(DISTINCT t) AS texts FROM doc GROUP BY host),
-often AS (
-  SELECT l.host, l.x, greatest(20.0, 0.02 * h.texts) AS most
-  FROM line l JOIN host_size h ON h.host = l.host
-  GROUP BY l.host, l.x, h.texts HAVING count(DISTINCT l.t) > greatest(20.0, 0.02 * h.texts)),
-found AS (SELECT l.*, o.most FROM line l JOIN often o ON o.host = l.host AND o.x = l.x),
-own AS (SELECT doc_id FROM found GROUP BY doc_id, n_words HAVING sum(n) <= 0.5 * n_words),
+often AS (SELECT host, x FROM line GROUP BY host, x HAVING count(DISTINCT t) > {line_texts}),
+found AS (SELECT l.* FROM line l JOIN often o ON o.host = l.host AND o.x = l.x),
+rated AS (SELECT doc_id, sum(n) <= 0.5 * n_words AS by_lines FROM found GROUP BY doc_id, n_words),
+mostly AS (
+  SELECT l.*, o.x IS NOT NULL AS frequent FROM line l JOIN rated r ON r.doc_id = l.doc_id AND NOT r.by_lines
+  LEFT JOIN often o ON o.host = l.host AND o.x = l.x),
+place AS (SELECT *, unnest(range(1, n + 1)) AS i FROM mostly),
+pair AS (SELECT doc_id, host, t, n_words, frequent, ws[i] AS a, coalesce(ws[i + 1], chr(10)) AS b FROM place),
+common AS (SELECT host, a, b FROM pair GROUP BY host, a, b HAVING count(DISTINCT t) > {line_texts}),
+own AS (
+  SELECT doc_id FROM rated WHERE by_lines
+  UNION ALL
+  SELECT p.doc_id FROM pair p LEFT JOIN common c ON c.host = p.host AND c.a = p.a AND c.b = p.b
+  WHERE NOT p.frequent AND c.host IS NULL GROUP BY p.doc_id, p.n_words HAVING count(*) >= CAST(1 AS DOUBLE) / 9 * p.n_words),
 gone AS (
   SELECT f.host, f.x FROM found f JOIN own o ON o.doc_id = f.doc_id
-  GROUP BY f.host, f.x, f.most HAVING count(DISTINCT f.t) > f.most),
+  GROUP BY f.host, f.x HAVING count(DISTINCT f.t) > {line_texts}),
 removed AS (
   SELECT f.doc_id, sum(f.n) AS removed_words FROM found f JOIN gone g ON g.host = f.host AND g.x = f.x GROUP BY f.doc_id),
 triple AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM doc),
@@ -218,7 +229,8 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": _CONTAMINATION,
     "op4_warc": _ARCHIVE,
     "op6_near_duplicates": _NEAR_DUPLICATES,
-    "op8_quality_rules": _QUALITY,
+    "op8_quality_rules": quality_sql(),
+    "quality_by_language": quality_sql("lang", 5),
     "op11_jaccard_join": _JACCARD,
     "op12_filter_audit": _FILTER_AUDIT,
     "op13_phrases": _PHRASES,

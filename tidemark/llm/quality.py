@@ -1,8 +1,10 @@
 """Quality rules: word and line statistics of a text, and lines that a host repeats.
 
 Cross-document line frequency: every normalised line becomes a hash, the distinct texts that hold
-it are counted per host, lines above the host's limit go, and a document of which too little is
-left is rejected.  DataFrame functions only.
+it are counted per host, lines in more than ``line_texts`` of them go, and a document of which too
+little is left is rejected.  The limit is a number of texts, the same in hosts of every size.
+Numbers in a line with a letter count as one number, so "Page 3 of 20" and "Page 4 of 20" are one
+line; lines without a letter keep theirs.  DataFrame functions only.
 
 A line counts only through texts that have content of their own.  Copies of one document share
 *all* their lines; without this, a large group of copies would look like boilerplate and lose its
@@ -33,16 +35,16 @@ SYMBOLS = r"[#*$%&|<>]"
 # White space, other than single blanks and line ends, that a line's normal form has not.
 _UNEVEN = ("  ", "\t", "\x0b", "\x0c", "\r")
 
+_NUMBER = r"(?<![0-9A-Za-z_])[0-9]+(?![0-9A-Za-z_])"
+
 
 @dataclass(frozen=True)
 class Limits:
-    """Production limits; a line goes if more distinct texts of its host hold it than both
-    ``line_texts`` and ``line_share`` of the host's texts."""
+    """Production limits; a line goes if more than ``line_texts`` distinct texts of its host hold it."""
 
     min_words: int = 50
     repeat_percent: int = 50
     line_texts: int = 20
-    line_share: float = 0.02
     #: a text counts for its lines if at least this share of its words is in unfrequented lines
     own_share: float = 0.5
     #: or if at least this share of its words, in unfrequented lines, starts a word pair that few of these texts hold
@@ -102,11 +104,15 @@ def base_failed(limits: Limits) -> Column:
 
 
 def _normal_lines(text: Column) -> Column:
-    """The lines in lower case, other white space and runs of blanks as one blank."""
+    """The lines in lower case, other white space and runs of blanks as one blank, numbers beside letters as 0."""
     plain = F.lower(text)
     uneven = reduce(or_, [F.contains(text, F.lit(x)) for x in _UNEVEN])
     plain = F.when(uneven, F.regexp_replace(plain, r"\x20{2,}|[\x09\x0B-\x0D]+", " ")).otherwise(plain)
-    return F.split(plain, "\n", -1)
+    return F.transform(F.split(plain, "\n", -1), _folded)
+
+
+def _folded(line: Column) -> Column:
+    return F.when(line.rlike("[0-9]") & line.rlike(r"\p{L}"), F.regexp_replace(line, _NUMBER, "0")).otherwise(line)
 
 
 def _line_hash(line: Column) -> Column:
@@ -132,23 +138,23 @@ def frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limit
     share an id but not a text stay apart.
     """
     docs = documents(docs, host)
-    totals = docs.groupBy(F.xxhash64(host).alias("_host")).agg(F.count_distinct(F.xxhash64("text")).alias("_texts"))
-    counts = _lines(docs, host).groupBy("_host", "_line").agg(F.count_distinct("_text").alias("_c"))
-    limit = F.greatest(F.lit(float(limits.line_texts)), limits.line_share * F.col("_texts"))
-    often = stage(counts.where(F.col("_c") > limits.line_texts).join(totals, "_host").where(F.col("_c") > limit).select("_line", limit.alias("_limit")))
+    counts = _lines(docs, host).groupBy("_line").agg(F.count_distinct("_text").alias("_c"))
+    often = stage(counts.where(F.col("_c") > limits.line_texts).select("_line"))
     matched = join_counted(_lines(docs, host, texts=True), often, ["_line"])
     # a line that a text repeats counts every time; equal rows of the table count once
-    once = matched.groupBy("doc_id", "_text", "_line", "_at").agg(F.first("_limit").alias("_limit"), F.first(word_count(F.col("_x"))).alias("_n"))
-    found = stage(once.groupBy("doc_id", "_text", "_line").agg(F.first("_limit").alias("_limit"), F.sum("_n").alias("_n")))
-    texts = documents(docs).select("doc_id", F.xxhash64("text").alias("_text"), word_count(F.col("text")).alias("_words"))
-    in_often = found.groupBy("doc_id", "_text").agg(F.sum("_n").alias("_often"), F.first("_limit").alias("_limit"))
-    rated = stage(join_null_safe(in_often, texts.dropDuplicates(["doc_id", "_text"]), ["doc_id", "_text"]))
+    once = matched.groupBy("doc_id", "_text", "_line", "_at").agg(F.first(word_count(F.col("_x"))).alias("_n"))
+    found = stage(once.groupBy("doc_id", "_text", "_line").agg(F.sum("_n").alias("_n")))
+    words = word_count(F.col("text"))
+    texts = documents(docs).select("doc_id", F.xxhash64("text").alias("_text"), words.alias("_words"))
+    sizes = texts.groupBy("doc_id", "_text").agg(F.first("_words").alias("_words"), F.count(F.lit(1)).alias("_rows"))
+    in_often = found.groupBy("doc_id", "_text").agg(F.sum("_n").alias("_often"))
+    rated = stage(join_null_safe(in_often, sizes, ["doc_id", "_text"]))
     by_lines = F.col("_often") <= (1 - limits.own_share) * F.col("_words")
     own = rated.where(by_lines).select("doc_id", "_text").unionByName(_own_by_words(docs, host, rated.where(~by_lines), often, limits))
-    held = join_null_safe(found, own, ["doc_id", "_text"]).groupBy("_line").agg(F.count_distinct("_text").alias("_c"), F.first("_limit").alias("_limit"))
-    gone = held.where(F.col("_c") > F.col("_limit")).select("_line")
+    held = join_null_safe(found, own, ["doc_id", "_text"]).groupBy("_line").agg(F.count_distinct("_text").alias("_c"))
+    gone = stage(held.where(F.col("_c") > limits.line_texts).select("_line"))
     return (
-        found.join(gone, "_line").groupBy("doc_id", "_text")
+        join_counted(found, gone, ["_line"]).groupBy("doc_id", "_text")
         .agg(F.collect_set("_line").alias("removed"), F.sum("_n").alias("removed_words"))
     )
 
@@ -157,21 +163,23 @@ def _own_by_words(docs: DataFrame, host: str, mostly: DataFrame, often: DataFram
     """``doc_id, _text`` of the texts of ``mostly`` frequent lines that have words of their own beside them.
 
     A word pair is not a text's own if more of these texts than the limit hold it, in any line.
+    Only the texts of ``mostly`` are cut into lines.
     """
     key = ["doc_id", "_text"]
-    mostly = stage(mostly.select(*key, "_words", "_limit"))
-    lines = join_null_safe(_lines(docs, host, texts=True).dropDuplicates([*key, "_line", "_at"]), mostly, key)
-    marked = lines.join(often.select("_line", F.lit(True).alias("_frequent")), "_line", "left")
+    mostly = stage(mostly.select(*key, "_words", "_rows"))
+    small = mostly.count() <= BROADCAST_ROWS
+    keys = mostly.select(*key)
+    wanted = join_null_safe(docs.withColumn("_text", F.xxhash64("text")), F.broadcast(keys) if small else keys, key, "left_semi")
+    marked = join_counted(_lines(wanted, host, texts=True), often.withColumn("_frequent", F.lit(True)), ["_line"], "left")
     words = F.array_remove(F.split(F.trim("_x"), f"[{SPACE}]+", -1), "")
     # the last word of a line pairs with the line's end
     pairs = F.transform(words, lambda w, i: F.xxhash64("_host", w, F.coalesce(F.get(words, i + 1), F.lit("\n"))))
-    each = stage(marked.select(*key, "_words", "_limit", F.coalesce("_frequent", F.lit(False)).alias("_frequent"), F.explode(pairs).alias("_pair")))
-    common = stage(
-        each.groupBy("_pair").agg(F.count_distinct("_text").alias("_c"), F.first("_limit").alias("_most"))
-        .where(F.col("_c") > F.col("_most")).select("_pair"))
+    each = stage(marked.select(*key, F.coalesce("_frequent", F.lit(False)).alias("_frequent"), F.explode(pairs).alias("_pair")))
+    common = stage(each.groupBy("_pair").agg(F.count_distinct("_text").alias("_c")).where(F.col("_c") > limits.line_texts).select("_pair"))
     rest = join_counted(each.where(~F.col("_frequent")), common, ["_pair"], "left_anti")
-    counted = rest.groupBy(*key).agg(F.count(F.lit(1)).alias("_own"), F.first("_words").alias("_words"))
-    return counted.where(F.col("_own") >= limits.own_words * F.col("_words")).select(*key)
+    counted = join_null_safe(rest.groupBy(*key).agg(F.count(F.lit(1)).alias("_own")), mostly, key)
+    # rows that repeat in the table are all in the count
+    return counted.where(F.col("_own") >= limits.own_words * F.col("_words") * F.col("_rows")).select(*key)
 
 
 def _verdicts(docs: DataFrame, removed: DataFrame, limits: Limits) -> DataFrame:

@@ -22,6 +22,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def quality_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules with languages as hosts and a limit of five texts, at which small tables lose lines too."""
+    return quality.quality_verdicts(table(spark, sf_dir, "documents"), "lang", quality.Limits(line_texts=5))
+
+
 def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(table(spark, sf_dir, "documents"))
 
@@ -90,4 +95,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_jaccard_join": op11_jaccard_join,
     "op12_filter_audit": op12_filter_audit,
     "op13_phrases": op13_phrases,
+    "quality_by_language": quality_by_language,
 }
