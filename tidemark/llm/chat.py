@@ -11,8 +11,9 @@ turn at least.  Every window but the first starts with the conversation's system
 assistant turn in the window where it is new; where it is history it is masked.
 
 Conversations are cut into parts of ``part_turns`` consecutive turn numbers before any list is
-built, so a list is bounded by a part, not by a conversation; parts are windowed on their own
-(each starts with the system turn, without history).  DataFrame functions only.
+built, so a list is bounded by a part, not by a conversation.  A window ends with its part; the first one of
+the next part starts like any other, with the system turn and history from the part before (of that
+part alone).  DataFrame functions only.
 
 Defined cases: a null text or role is empty; turns are ordered by number, role and text, nulls
 first; repeated rows are turns each; a null ``conv_id`` is a conversation; an empty table gives
@@ -23,10 +24,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, join_null_safe
+from tidemark.llm.common import BROADCAST_ROWS, WORD, join_null_safe, stage
 
 # What marks turns, and the control strings (after their first character) to escape.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
@@ -79,26 +80,43 @@ def windows(turns: DataFrame, form: Format = Format()) -> DataFrame:
     first = rows.groupBy("conv_id").agg(F.min("part").alias("_first"))
     heads = join_null_safe(parts, first, ["conv_id"]).where(F.col("part") == F.col("_first"))
     system = heads.select("conv_id", F.when(F.col("_t")[0]["role"] == "system", F.struct(F.col("_t")[0]["role"].alias("role"), F.col("_t")[0]["text"].alias("text"), F.col("_t")[0]["n"].alias("n"))).alias("_sys"), F.col("_first"))
-    work = join_null_safe(parts, system, ["conv_id"]).select("conv_id", "part", "_t", "_sys", (F.col("part") == F.col("_first")).alias("_head"))
-    plan = work.select("*", _cuts(form).alias("_cuts"))
+    work = join_null_safe(join_null_safe(parts, system, ["conv_id"]), _ends(rows, turn, form), ["conv_id", "part"], "left")
+    # every window has the system turn anyway, so it is no history
+    only_system = (F.col("_before") == F.col("_first")) & F.col("_sys").isNotNull() & (F.col("_m") <= form.history)
+    old = F.when(F.col("_old").isNull(), F.slice("_t", 1, 0)).when(only_system, F.slice("_old", 2, form.history)).otherwise(F.col("_old"))
+    begun = work.select("conv_id", "part", "_t", "_sys", (F.col("part") == F.col("_first")).alias("_head"), old.alias("_old"))
+    plan = begun.select("conv_id", "part", "_sys", "_head", F.concat("_old", "_t").alias("_t"), _cuts(form).alias("_cuts"))
     each = plan.select("conv_id", "part", "_t", "_sys", "_head", F.posexplode("_cuts").alias("window", "_c"))
     return _formatted(each)
 
 
+def _ends(rows: DataFrame, turn: Column, form: Format) -> DataFrame:
+    """``conv_id, part, _before, _m, _old``: by part but the first, the part before, its turns and the last of them."""
+    ordered = Window.partitionBy("conv_id").orderBy("part")
+    spread = stage(rows.select("conv_id", "part").distinct().withColumn("_next", F.lead("part").over(ordered)).where(F.col("_next").isNotNull()))
+    small = spread.count() <= BROADCAST_ROWS
+    followed = join_null_safe(rows, F.broadcast(spread) if small else spread, ["conv_id", "part"])
+    lists = followed.groupBy("conv_id", "part", "_next").agg(F.sort_array(F.collect_list(turn)).alias("_a"))
+    last = F.slice("_a", F.greatest(F.size("_a") - form.history, F.lit(0)) + 1, form.history)
+    return lists.select("conv_id", F.col("_next").alias("part"), F.col("part").alias("_before"), F.size("_a").alias("_m"), last.alias("_old"))
+
+
 def _cuts(form: Format) -> Column:
-    """Windows of a part as (first repeated turn, first new turn, last new turn), from 1.
+    """Windows of a part as (first repeated turn, first new turn, last new turn), from 1, in ``_old`` and ``_t`` together.
 
     The state walks over the turns' prefix sums once: the open window's tokens, and the sizes of
     the last turns, which are the history of the next one.
     """
     start = F.struct(
-        F.lit(0).alias("i"), F.lit(0).cast("long").alias("used"),
-        F.array().cast("array<struct<back:int,first:int,last:int>>").alias("cuts"), F.array().cast("array<long>").alias("tail"))
+        F.size("_old").alias("i"), F.lit(0).cast("long").alias("used"),
+        F.array().cast("array<struct<back:int,first:int,last:int>>").alias("cuts"),
+        F.transform("_old", lambda t: t["n"].cast("long")).alias("tail"))
     system = F.coalesce(F.col("_sys.n").cast("long"), F.lit(0).cast("long"))
 
     def step(acc: Column, turn: Column) -> Column:
         n = turn["n"].cast("long")
-        full = (acc["used"] + n > form.budget) & (acc["i"] > 0)
+        count = F.size(acc["cuts"])
+        full = (count == 0) | (acc["used"] + n > form.budget)
         # how many of the last turns fit the history's tokens, beside the system turn
         sums = [F.aggregate(F.slice(acc["tail"], F.size(acc["tail"]) - k + 1, k), F.lit(0).cast("long"), lambda a, x: a + x) for k in range(1, form.history + 1)]
         back, tokens = F.lit(0), F.lit(0).cast("long")
@@ -107,11 +125,10 @@ def _cuts(form: Format) -> Column:
             back, tokens = F.when(fits, F.lit(k)).otherwise(back), F.when(fits, sums[k - 1]).otherwise(tokens)
         i = acc["i"] + 1
         opened = F.struct((i - back).alias("back"), i.alias("first"), i.alias("last"))
-        count = F.size(acc["cuts"])
         open_cut = F.element_at(acc["cuts"], -1)
         grown = F.concat(F.slice(acc["cuts"], F.lit(1), count - 1), F.array(F.struct(open_cut["back"].alias("back"), open_cut["first"].alias("first"), i.alias("last"))))
-        cuts = F.when(count == 0, F.array(F.struct(i.alias("back"), i.alias("first"), i.alias("last")))).when(full, F.concat(acc["cuts"], F.array(opened))).otherwise(grown)
-        used = F.when(count == 0, n + F.when(F.col("_head"), 0).otherwise(system)).when(full, system + tokens + n).otherwise(acc["used"] + n)
+        cuts = F.when(full, F.concat(acc["cuts"], F.array(opened))).otherwise(grown)
+        used = F.when((count == 0) & F.col("_head"), n).when(full, system + tokens + n).otherwise(acc["used"] + n)
         # the system turn itself is no history: every window has it anyway
         is_system = F.col("_head") & F.col("_sys").isNotNull() & (i == 1)
         tail = F.when(is_system, acc["tail"]).otherwise(F.slice(F.concat(acc["tail"], F.array(n)), -F.least(F.size(acc["tail"]) + 1, F.lit(form.history)), form.history))
