@@ -3,6 +3,7 @@ import math
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,3 +151,20 @@ def test_bad_periods_and_panel_without_them(spark):
     assert sorted(r[0] for r in bad.collect()) == [1, 2]
     rows = spark.createDataFrame([(1, 7), (3, 8)], "period int, x int")
     assert [tuple(r) for r in drift.without_periods(rows, bad, "period").collect()] == [(3, 8)]
+
+
+def test_values_are_binned_by_column_not_by_row(spark):
+    """Odd values and periods, in one pass whose rows are counters: no row per value."""
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, 0.0, 5.0), (1, 1.0, 5.0), (1, 2.0, None), (1, 4.0, 5.0), (2, -0.0, nan), (2, 4.0, 7.0), (2, inf, None), (2, None, 5.0), (None, 1.5, 5.0), (None, nan, 5.0)]
+    cuts = [[0.0, 1.0, 2.0, 4.0], [5.0]]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.float64(), pa.float64()))], ["p", "x", "y"])
+    found = [r for b in drift._binned("p", cuts)([batch, batch.slice(0, 4)]) for r in b.to_pylist()]
+    got = {(r["p"], r["column"], r["bin"]): r["n"] for r in found}
+    assert got == {
+        (1, 0, 1): 2, (1, 0, 2): 2, (1, 0, 3): 4, (2, 0, 1): 1, (2, 0, 3): 1, (2, 0, 0): 1, (2, 0, -1): 1, (None, 0, 2): 1, (None, 0, -1): 1,
+        (1, 1, 0): 6, (1, 1, -1): 2, (2, 1, -1): 2, (2, 1, 0): 2, (None, 1, 0): 2,
+    }
+    df = spark.createDataFrame(rows, "p int, x double, y double")
+    plan = drift.psi_by_column_period(df, "p", ["x", "y"], [1])._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(array(cast" not in plan and "MapInArrow" in plan

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from .quantiles import MARGIN, exact_percentiles, long_values, per_column, with_edges_below
+from .quantiles import MARGIN, doubles, exact_percentiles, long_values, per_column
 from .selection import distinct_periods
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: counters of periods that a task holds at a time
+HELD_BYTES = 64_000_000
+
 
 def baseline_periods(
     df: DataFrame, period: str, count: int = fixed.BASELINE_PERIODS
@@ -31,15 +40,50 @@ def psi_cuts(
     return {c: sorted(set(q)) if q else [] for c, q in quantiles.items()}
 
 
-def _bin() -> Column:
-    """The bin of a value, of whose column's cuts ``_below`` are at or below it.
+def _binned(name: str, cuts: Sequence[Sequence[float]]):
+    """Values by period, column and bin, one row each and task.
 
     1, 2, … are half-open bins between the cuts, the last one closed; 0 is a value outside
     the cuts (or any value, when there are fewer than two cuts), -1 is NULL or NaN.
     """
-    below, n = F.col("_below"), F.size("cuts")
-    inside = F.when(F.col("value") == F.element_at("cuts", -1), n - 1).when(below < n, below).otherwise(0)
-    return F.when(F.col("value").isNull() | F.isnan("value"), -1).when(n < 2, 0).otherwise(inside)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = [np.array(c, float) for c in cuts]
+        width = max(map(len, edges), default=0) + 2
+        total: dict[object, np.ndarray] = {}
+        kind = None
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for value, counts in total.items():
+                column, at = np.nonzero(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([value] * len(at), kind), pa.array(column.astype(np.int32)), pa.array((at - 1).astype(np.int32)), pa.array(counts[column, at])],
+                    [name, "column", "bin", "n"])
+            total.clear()
+
+        for batch in batches:
+            periods = batch.column(0).dictionary_encode()
+            kind, values = periods.dictionary.type, [*periods.dictionary.to_pylist(), None]
+            code = periods.indices.fill_null(len(values) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+            counts = np.zeros((len(values), len(edges), width), np.int64)
+            for i, e in enumerate(edges):
+                x, n = doubles(batch, i + 1), len(e)
+                missing = np.isnan(x)
+                if n < 2:
+                    bins = np.zeros(len(x), np.int64)
+                else:
+                    bins = np.searchsorted(e, x, "right")
+                    bins = np.where(bins < n, bins, np.where(x == e[-1], n - 1, 0))
+                cell = code * width + np.where(missing, -1, bins) + 1
+                counts[:, i] = np.bincount(cell, minlength=len(values) * width).reshape(len(values), width)
+            for value, found in zip(values, counts):
+                if value in total:
+                    total[value] += found
+                else:
+                    total[value] = found.copy()
+            if len(total) * counts[0].nbytes > HELD_BYTES:
+                yield from rows()
+        yield from rows()
+    return run
 
 
 def psi_by_column_period(
@@ -53,8 +97,8 @@ def psi_by_column_period(
 ) -> DataFrame:
     """PSI of every column and period against the baseline periods.
 
-    One counting pass: the values are listed by column, find their bin among the column's cuts by
-    binary search, and (period, column, bin) is counted with map-side combining; the rest works on
+    One counting pass over the columns side by side: every value finds its bin among its column's cuts by
+    binary search, tasks count (period, column, bin), and a shuffle adds up the tasks; the rest works on
     one array of counters a period and column.  Cuts are rows, not text of the plan.  PSI is 0 for
     a column with fewer than two cuts, NULL when a side has no value or when no value of the
     period lies within the baseline's range.
@@ -68,12 +112,10 @@ def psi_by_column_period(
     table = per_column(
         spark, [(i, c, [float(x) for x in cuts[c]]) for i, c in enumerate(columns)], "name string, cuts array<double>"
     )
-    most = max([len(cuts[c]) for c in columns], default=0)
-    listed = with_edges_below(long_values(df, columns, period).join(table, "column"), "cuts", most, "_below")
-    counts = (
-        listed.groupBy(period, "column", _bin().alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    doubled = df.select(F.col(period), *[F.col(f"`{c}`").cast("double") for c in columns])
+    kind = df.schema[period].dataType.simpleString()
+    binned = doubled.mapInArrow(_binned(period, [[float(x) for x in cuts[c]] for c in columns]), f"`{period}` {kind}, column int, bin int, n bigint")
+    counts = binned.groupBy(period, "column", "bin").agg(F.sum("n").alias("n"))
     # a counter of every bin, -1 and 0 first; one short array a period and column
     entries = F.map_from_entries(F.collect_list(F.struct("bin", "n")))
     by_bin = counts.groupBy(period, "column").agg(entries.alias("_m")).join(table, "column")

@@ -13,14 +13,20 @@ An edge that is off only makes the last pass keep more; the result is exact in a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
 from .ranking import cut_points, rank_rows
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MARGIN = 0.002
 
 
@@ -38,18 +44,40 @@ def per_column(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataF
     return F.broadcast(spark.createDataFrame(rows, f"column int, {schema}"))
 
 
-def with_edges_below(df: DataFrame, edges: str, most: int, name: str) -> DataFrame:
-    """Add how many of the row's sorted edges, ``most`` at most, are at or below ``value``.
-
-    A binary search, one projection a step: the plan grows with the digits of ``most`` only.
-    """
-    df = df.withColumn(name, F.lit(0))
-    step = 1 << most.bit_length() >> 1
-    while step:
-        right = F.get(F.col(edges), F.col(name) + (step - 1)) <= F.col("value")
-        df = df.withColumn(name, F.col(name) + F.when(right, step).otherwise(0))
-        step //= 2
-    return df
+def doubles(batch: pa.RecordBatch, i: int) -> np.ndarray:
+    """A column of doubles, NULL as NaN."""
+    return batch.column(i).to_numpy(zero_copy_only=False).astype(float, copy=False)
+
+
+def _bucket_counts(edges: Sequence[Sequence[float]]):
+    """Values by column and bucket (the edges at or below the value), one row each and task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts = [np.array(e, float) for e in edges]
+        total = [np.zeros(len(e) + 1, np.int64) for e in cuts]
+        for batch in batches:
+            for i, e in enumerate(cuts):
+                x = doubles(batch, i)
+                total[i] += np.bincount(np.searchsorted(e, x[~np.isnan(x)], "right"), minlength=len(e) + 1)
+        found = [(i, int(b), int(n[b])) for i, n in enumerate(total) for b in np.flatnonzero(n)]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*found), (pa.int32(), pa.int32(), pa.int64()))], ["column", "bucket", "n"])
+    return run
+
+
+def _values_inside(edges: Sequence[Sequence[float]], wanted: Sequence[tuple[int, int]]):
+    """The distinct values of the wanted (column, bucket) with their number, by batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen: dict[int, np.ndarray] = {}
+        for i, bucket in wanted:
+            chosen.setdefault(i, np.zeros(len(edges[i]) + 1, bool))[bucket] = True
+        for batch in batches:
+            for i, mine in chosen.items():
+                cuts, x = np.array(edges[i], float), doubles(batch, i)
+                x = x[~np.isnan(x)]
+                values, n = np.unique(x[mine[np.searchsorted(cuts, x, "right")]] + 0.0, return_counts=True)
+                buckets = np.searchsorted(cuts, values, "right")
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), i, np.int32)), pa.array(buckets.astype(np.int32)), pa.array(values), pa.array(n.astype(np.int64))], ["column", "bucket", "value", "n"])
+    return run
 
 
 def _located(histogram: DataFrame, probs: Sequence[float]) -> list:
@@ -97,25 +125,18 @@ def exact_percentiles(
     numbers reach the driver.
     """
     columns, probs = list(columns), [float(p) for p in probs]
-    spark = df.sparkSession
     df = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns])
     grid = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
     quantiles = cut_points(df, columns, grid, margin / 2, int(4 / margin**2))
     sorted_edges = [sorted(map(float, set(q))) for q in quantiles]
-    edges = per_column(spark, list(enumerate(sorted_edges)), "edges array<double>")
-    valid = long_values(df, columns).filter("value IS NOT NULL AND NOT isnan(value)")
-    found = with_edges_below(valid.join(edges, "column"), "edges", max(map(len, sorted_edges)), "bucket")
-    placed = found.select("column", "value", "bucket")
-    histogram = placed.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    # the columns stay side by side: a value costs a binary search in a task, not a row
+    histogram = df.mapInArrow(_bucket_counts(sorted_edges), "column int, bucket int, n bigint").groupBy("column", "bucket").agg(F.sum("n").alias("n"))
     located = _located(histogram, probs)
     wanted = sorted({(r["column"], r["bucket"]) for r in located})
     if not wanted:
         return {c: None for c in columns}
-    counted = (
-        placed.join(per_column(spark, wanted, "bucket int"), ["column", "bucket"])
-        .groupBy("column", "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    inside = df.mapInArrow(_values_inside(sorted_edges, wanted), "column int, bucket int, value double, n bigint")
+    counted = inside.groupBy("column", "bucket", "value").agg(F.sum("n").alias("n"))
     with staged(counted) as table:
         picked = _values_at(_running(table), located)
     values = {(r["column"], r["prob"]): r["value"] for r in picked}
