@@ -1,8 +1,10 @@
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import LOWER, ODD_TEXTS, documents, empty, words
@@ -105,3 +107,25 @@ def test_large_group_of_near_copies_costs_no_pairs(spark):
         compare(docs)
         sizes.append(jaccard.links(jaccard.candidates(docs)[1]).count())
     assert sizes[2] < 5.5 * sizes[0] and sizes[0] > 10
+
+
+def test_a_batch_of_texts_is_hashed_in_little_memory():
+    """Beside the texts, a task holds the sampled parts of their sets and one portion being hashed."""
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(words[j] for j in rng.integers(0, 5000, 1500)) for _ in range(1500)]
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([b"%016d" % i for i in range(n)]), pa.array(range(n)), pa.array(texts)], ["doc_id", "node", "key", "text"])
+    jaccard._known.clear()
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in jaccard._posted(jaccard.Settings(), 4)([batch]))
+        posted = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        sets = [s for b in jaccard._sets(jaccard.Settings())([batch]) for s in b.column("cells")]
+        made = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows > n and len(sets) == n
+    assert sets[7].as_py() == jaccard.shingle_sets([texts[7].encode()], 4)[0].view(np.int64).tolist()
+    assert posted < 70e6 and made < 50e6

@@ -29,7 +29,7 @@ it has none; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,7 +49,7 @@ class Settings:
     percent: int = 85
     sampled: int = 4
     bucket: int = 100_000
-    at_once: int = 2_000_000
+    at_once: int = 250_000
 
 
 _U = np.uint64
@@ -72,21 +72,26 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def shingle_sets(texts: list[bytes], words: int, at_once: int = 2_000_000) -> list[np.ndarray]:
-    """Sorted hashes of the distinct shingles of every text; texts have single blanks between words.
+def shingle_sets(texts: Iterable[bytes], words: int, at_once: int = 250_000) -> list[np.ndarray]:
+    """Sorted hashes of the distinct shingles of every text; texts have single blanks between words."""
+    return [s for sets in _sets_of(texts, words, at_once) for s in sets]
+
+
+def _sets_of(texts: Iterable[bytes], words: int, at_once: int) -> Iterator[list[np.ndarray]]:
+    """The sets in order, those of ``at_once`` bytes of text at a time.
 
     Texts are hashed many at a time: a shingle is a difference of one running polynomial hash.
     """
-    out: list[np.ndarray] = []
-    start = 0
-    while start < len(texts):
-        end, size = start, 0
-        while end < len(texts) and (end == start or size + len(texts[end]) <= at_once):
-            size += len(texts[end]) + 1
-            end += 1
-        out += _hashed(texts[start:end], words)
-        start = end
-    return out
+    some: list[bytes] = []
+    size = 0
+    for text in texts:
+        if some and size + len(text) > at_once:
+            yield _hashed(some, words)
+            some, size = [], 0
+        some.append(text)
+        size += len(text) + 1
+    if some:
+        yield _hashed(some, words)
 
 
 def _hashed(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -130,18 +135,21 @@ def _posted(settings: Settings, buckets: int):
             keys = batch.column("key").to_numpy()
             distinct, where, back = np.unique(keys, return_index=True, return_inverse=True)
             texts = batch.column("text")
-            sets = shingle_sets([texts[int(i)].as_py().encode() for i in where], settings.words, settings.at_once)
-            n = np.array([len(s) for s in sets])
-            parts = [s[: np.searchsorted(s, bound, "right")] for s in sets]
+            # of a text's set only the size and a copy of the sampled part outlive the texts hashed with it
+            sizes, parts = [], []
+            for sets in _sets_of((texts[int(i)].as_py().encode() for i in where), settings.words, settings.at_once):
+                sizes += [len(s) for s in sets]
+                parts += [s[: np.searchsorted(s, bound, "right")].copy() for s in sets]
+            n = np.array(sizes, np.int64)
             found = np.array([len(p) for p in parts])
             need = np.where(n > 0, found - (100 - settings.percent) * n // 100, 2**31 - 1)
-            hashes, own = np.concatenate([*parts, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(sets)), found)
+            hashes, own = np.concatenate([*parts, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(parts)), found)
             order = np.argsort(hashes, kind="stable")
             hashes, own = hashes[order], own[order]
             new = np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)]
             number = np.arange(len(hashes)) - np.maximum.accumulate(np.where(new, np.arange(len(hashes)), 0))
             # two owners are sent and counted where the lists meet, the others have theirs already
-            got = np.bincount(own[number >= 2], minlength=len(sets))
+            got = np.bincount(own[number >= 2], minlength=len(parts))
             hashes, own = hashes[number < 2], own[number < 2]
             bucket = (hashes >> shift) * _U(buckets) // (bound // _U(2**32) + _U(1))
             order = np.lexsort([own, bucket])
@@ -179,9 +187,11 @@ def _shared(table: pa.Table) -> pa.Table:
 def _sets(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets([t.as_py().encode() for t in batch.column("text")], settings.words, settings.at_once)
-            cells = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), cells], ["node", "cells"])
+            done = 0
+            for sets in _sets_of((t.as_py().encode() for t in batch.column("text")), settings.words, settings.at_once):
+                cells = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(done, len(sets)), cells], ["node", "cells"])
+                done += len(sets)
     return run
 
 
